@@ -143,14 +143,15 @@ def item_sequences(
     """Ordered product ids per session of at least ``min_items`` events.
 
     A sequence longer than ``max_items`` continues in further rows with rising
-    ``chunk``, so no row grows with the session; ``session_length`` is always
-    that of the whole session.
+    ``chunk``, so no row grows with the session and one aggregation is enough:
+    a later piece proves the length, a first piece shows it.
     """
-    lengths = positioned.groupBy(*keys).agg(rows().alias("session_length"))
+    if min_items > max_items:
+        raise ValueError("min_items must not exceed max_items")
     entry = F.struct("position", F.col("product_id").cast("string").alias("product"))
     pieces = positioned.groupBy(*keys, _chunk(max_items)).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-    kept = pieces.join(lengths.filter(F.col("session_length") >= min_items), keys)
-    return kept.select(*keys, "chunk", F.transform("_entries", lambda e: e["product"]).alias("items"), "session_length")
+    kept = pieces.filter((F.col("chunk") > 0) | (F.size("_entries") >= min_items))
+    return kept.select(*keys, "chunk", F.transform("_entries", lambda e: e["product"]).alias("items"))
 
 
 def shop_session_sequences(events: DataFrame, min_items: int = 2, max_items: int = MAX_ITEMS) -> DataFrame:

@@ -366,10 +366,10 @@ _O["session_events"] = with_ev(session_cte(30), """SELECT user_id, session_id, (
 _O["session_stats"] = with_ev(session_cte(30), """SELECT count(*) AS sessions, avg(n) AS avg_length
   FROM (SELECT count(*) AS n FROM se GROUP BY user_id, session_id HAVING count(*) >= 2)""")
 _O["session_sequences"] = ev("""SELECT user_session, CAST(0 AS BIGINT) AS chunk,
-  string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY event_time, event_id) AS items, count(*) AS session_length
+  string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY event_time, event_id) AS items
   FROM ev GROUP BY user_session HAVING count(*) >= 2""")
 _O["gap_session_sequences"] = with_ev(session_cte(360), """SELECT user_id, session_id, CAST(0 AS BIGINT) AS chunk,
-  string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY position) AS items, count(*) AS session_length
+  string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY position) AS items
   FROM se GROUP BY user_id, session_id HAVING count(*) >= 2""")
 _O["held_out_pairs"] = with_ev(
     session_cte(360)
@@ -417,7 +417,7 @@ CATS = f"""cw AS (SELECT time_bucket(INTERVAL 30 MINUTE, event_time) AS window_s
 _CATS_OUT = """SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, main_category, total_events, active_users,
   products_interacted, revenue, purchases FROM cw"""
 # Append mode emits the windows that end no later than the watermark.
-_CLOSED = " WHERE window_end <= (SELECT max(event_time) - INTERVAL 1 HOUR FROM ev)"
+_CLOSED = " WHERE window_end <= (SELECT max(event_time) - INTERVAL 3 DAY FROM ev)"
 _O["trending_windows"] = with_ev(TREND, _TREND_OUT)
 _O["category_windows"] = with_ev(CATS, _CATS_OUT)
 _O["trending_by_category"] = with_ev(TREND, """SELECT main_category, sum(trend_score) AS total_trend_score,

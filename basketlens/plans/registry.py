@@ -24,8 +24,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed instant for columns that otherwise carry the time of the run.
 ASOF = dt.datetime(2024, 2, 1)
 
-# Slices a stream run replays the history in.
-REPLAY_SLICES = 12
+# Slices a stream run replays the history in, and the lateness that covers one
+# slice of the 30 days.
+REPLAY_SLICES = 10
+REPLAY_WATERMARK = "3 days"
 
 # Pause that gives the test events item sequences long enough to learn from.
 LONG_GAP = 360
@@ -340,13 +342,13 @@ def stream_event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_trending")
 def stream_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, events = _replay(spark, sf_dir)
-    return windows.flat_window(runs.run_trending_stream(spark, source, events.schema, scratch_path(spark, "speed")))
+    return windows.flat_window(runs.run_trending_stream(spark, source, events.schema, scratch_path(spark, "speed"), REPLAY_WATERMARK))
 
 
 @query("stream_categories")
 def stream_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, events = _replay(spark, sf_dir)
-    return windows.flat_window(runs.run_category_stream(spark, source, events.schema, scratch_path(spark, "speed")))
+    return windows.flat_window(runs.run_category_stream(spark, source, events.schema, scratch_path(spark, "speed"), REPLAY_WATERMARK))
 
 
 @query("stream_profiles")
