@@ -74,22 +74,31 @@ def profile_rates(totals: DataFrame, asof: dt.datetime | None = None) -> DataFra
 
 
 def user_profile_full(events: DataFrame, exact_distinct: bool = True) -> DataFrame:
-    """The canonical user profile: activity, spend, diversity, lifetime."""
+    """The canonical user profile: activity, spend, diversity, lifetime.
+
+    Three aggregates by user, joined where they are: Spark copies each row
+    once per distinct count, and those copies stay narrow when sums and first
+    values are computed apart. All three end hash-partitioned by user, so the
+    joins add no shuffle.
+    """
     totals = events.groupBy("user_id").agg(
         rows().alias("total_events"),
         *kind_counts("total_views", "total_carts", "total_purchases"),
         revenue_units().alias("_spend"),
         units_sum("price", is_kind(VIEW)).alias("_viewed"),
+        F.min("event_time").alias("first_seen"),
+        F.max("event_time").alias("last_seen"),
+    )
+    variety = events.groupBy("user_id").agg(
         _distinct("product_id", exact_distinct).alias("unique_products_seen"),
         _distinct("main_category", exact_distinct).alias("category_diversity"),
         _distinct("brand", exact_distinct).alias("brand_diversity"),
-        F.min("event_time").alias("first_seen"),
-        F.max("event_time").alias("last_seen"),
         _distinct("event_date", exact_distinct).alias("active_days"),
     )
     favourites = first_seen(events, "user_id", {"main_category": "top_category", "brand": "top_brand"})
-    kept = [c for c in totals.columns if not c.startswith("_")]
-    return totals.join(favourites, "user_id").select(
+    joined = totals.join(variety, "user_id").join(favourites, "user_id")
+    kept = [c for c in joined.columns if not c.startswith(("_", "top_"))]
+    return joined.select(
         *kept,
         money("_spend").alias("total_spend"),
         money_mean("_spend", "total_purchases").alias("avg_order_value"),

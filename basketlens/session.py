@@ -23,6 +23,9 @@ def get_spark(app: str = "basketlens", master: str | None = None, **conf: str) -
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Reports group by up to some hundred thousand products; the default fast
+        # map of 65536 groups per task sends most of those rows to the slow one.
+        .config("spark.sql.codegen.aggregate.fastHashMap.capacityBit", "20")
         # Window and distinct state outgrows the heap on real streams.
         .config(
             "spark.sql.streaming.stateStore.providerClass",
