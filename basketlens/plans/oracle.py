@@ -83,6 +83,10 @@ _O["union_sources"] = ev("""SELECT event_id, event_type, product_id, price, user
 _O["unexpected_types"] = f"""WITH {RAW} SELECT event_type, count(*) AS n FROM raw
   WHERE event_type NOT IN ('view', 'cart', 'purchase') GROUP BY event_type"""
 
+_BUCKET = "CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT)"
+_O["price_sample"] = ev(f"SELECT event_id, event_type, price FROM ev WHERE price < 1000 AND {_BUCKET} % 1000000 < 10000")
+_O["price_bump"] = ev(f"SELECT event_id, price * 1.1::DOUBLE AS price FROM ev WHERE {_BUCKET} % 1000 < 100")
+
 # ----------------------------------------------------------- event aggregates
 _O["full_scan_count"] = ev("SELECT count(*) AS total FROM ev")
 _O["filter_purchases"] = ev("SELECT count(*) AS total FROM ev WHERE event_type = 'purchase'")

@@ -114,6 +114,14 @@ def unexpected_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.unexpected_values(testbed.raw_events(spark, sf_dir), "event_type", EVENT_TYPES)
 
 
+_over_events(
+    "price_sample",
+    lambda e: clean.hash_sample(e.filter((F.col("price") > 0) & (F.col("price") < 1000)), 0.01, "event_id").select(
+        "event_id", "event_type", "price"
+    ),
+)
+_over_events("price_bump", lambda e: tables.price_bump_batch(e).select("event_id", "price"))
+
 # ----------------------------------------------------------- event aggregates
 
 _over_events("full_scan_count", metrics.event_rows)
