@@ -178,18 +178,43 @@ def top_spenders(profiles: DataFrame, n: int = 20) -> DataFrame:
     return spend.select("user_id", money("_u").alias("spend")).orderBy(F.desc("spend"), "user_id").limit(n)
 
 
-def product_stats(events: DataFrame, exact_distinct: bool = True) -> DataFrame:
-    """Mutable product statistics."""
-    totals = events.groupBy("product_id").agg(
+def _product_totals(events: DataFrame) -> DataFrame:
+    """Totals, viewers and buyers per product.
+
+    Summing per (product, user) first makes every distinct user one row: a
+    product that everybody touches is spread over its users, and no row is
+    copied for the distinct counts.
+    """
+    per_user = events.groupBy("product_id", "user_id").agg(
+        rows().alias("_n"),
+        *kind_counts("_views", "_carts", "_buys"),
         units_sum("price").alias("_price"),
         F.count("price").alias("_priced"),
-        rows().alias("total_interactions"),
-        *kind_counts("view_count", "cart_count", "purchase_count"),
-        _distinct("user_id", exact_distinct).alias("unique_users"),
-        _distinct(F.when(is_kind(PURCHASE), F.col("user_id")), exact_distinct).alias("unique_buyers"),
         revenue_units().alias("_revenue"),
-        F.min("event_time").alias("first_interaction"),
-        F.max("event_time").alias("last_interaction"),
+        F.min("event_time").alias("_from"),
+        F.max("event_time").alias("_to"),
+    )
+    known = F.col("user_id").isNotNull()
+    return per_user.groupBy("product_id").agg(
+        F.sum("_n").alias("events"),
+        F.sum("_views").alias("views"),
+        F.sum("_carts").alias("carts"),
+        F.sum("_buys").alias("purchases"),
+        F.count_if(known).alias("unique_users"),
+        F.count_if(known & (F.col("_views") > 0)).alias("unique_viewers"),
+        F.count_if(known & (F.col("_buys") > 0)).alias("unique_buyers"),
+        F.sum("_price").alias("_price"),
+        F.sum("_priced").alias("_priced"),
+        F.sum("_revenue").alias("_revenue"),
+        F.min("_from").alias("first_interaction"),
+        F.max("_to").alias("last_interaction"),
+    )
+
+
+def product_stats(events: DataFrame) -> DataFrame:
+    """Mutable product statistics."""
+    totals = _product_totals(events).withColumnsRenamed(
+        {"events": "total_interactions", "views": "view_count", "carts": "cart_count", "purchases": "purchase_count"}
     )
     attributes = ["brand", "main_category", "sub_category", "category_code"]
     described = totals.join(first_seen(events, "product_id", {name: name for name in attributes}), "product_id")
@@ -228,13 +253,8 @@ def top_products_by_popularity(stats: DataFrame, n: int = 10) -> DataFrame:
 
 def product_performance(events: DataFrame) -> DataFrame:
     """Gold product table with distinct viewers and buyers."""
-    totals = events.groupBy("product_id").agg(
-        *kind_counts("total_views", "total_carts", "total_purchases"),
-        revenue_units().alias("_revenue"),
-        F.count_distinct(F.when(is_kind(VIEW), F.col("user_id"))).alias("unique_viewers"),
-        F.count_distinct(F.when(is_kind(PURCHASE), F.col("user_id"))).alias("unique_buyers"),
-        units_sum("price").alias("_price"),
-        F.count("price").alias("_priced"),
+    totals = _product_totals(events).withColumnsRenamed(
+        {"views": "total_views", "carts": "total_carts", "purchases": "total_purchases"}
     )
     attributes = first_seen(events, "product_id", {"brand": "brand", "main_category": "main_category"})
     return totals.join(attributes, "product_id").select(

@@ -350,13 +350,19 @@ def stream_event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_trending")
 def stream_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, events = _replay(spark, sf_dir)
-    return windows.flat_window(runs.run_trending_stream(spark, source, events.schema, scratch_path(spark, "speed"), REPLAY_WATERMARK))
+    out, cores = scratch_path(spark, "speed"), spark.sparkContext.defaultParallelism
+    return windows.flat_window(
+        runs.run_trending_stream(spark, source, events.schema, out, REPLAY_WATERMARK, partitions=cores)
+    )
 
 
 @query("stream_categories")
 def stream_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, events = _replay(spark, sf_dir)
-    return windows.flat_window(runs.run_category_stream(spark, source, events.schema, scratch_path(spark, "speed"), REPLAY_WATERMARK))
+    out, cores = scratch_path(spark, "speed"), spark.sparkContext.defaultParallelism
+    return windows.flat_window(
+        runs.run_category_stream(spark, source, events.schema, out, REPLAY_WATERMARK, partitions=cores)
+    )
 
 
 @query("stream_profiles")

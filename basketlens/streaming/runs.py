@@ -8,6 +8,8 @@ passes their end (append mode).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,23 @@ from basketlens.operators.windows import category_windows, trending_windows, wit
 from basketlens.sources.streams import stream_events, stream_live_json
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """Number of state partitions of the queries started inside.
+
+    A query keeps the number it first started with, so it is chosen for the
+    stream (about the cluster's cores) and not left to the batch setting.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if n is not None:
+        spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_append(
     stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", by: list[str] | None = None
 ) -> StreamingQuery:
@@ -66,11 +85,14 @@ def run_trending_stream(
     slide: str | None = "15 minutes",
     max_files: int = 5,
     distinct: str = "exact",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Trending products of every window the watermark has closed."""
     events = with_watermark(stream_events(spark, source, schema, max_files), watermark)
     trending = trending_windows(events, window, slide, distinct)
-    start_append(trending, f"{out}/trending", f"{out}/_checkpoints/trending").awaitTermination()
+    with state_partitions(spark, partitions):
+        query = start_append(trending, f"{out}/trending", f"{out}/_checkpoints/trending")
+    query.awaitTermination()
     return spark.read.schema(trending.schema).parquet(f"{out}/trending")
 
 
@@ -82,21 +104,33 @@ def run_category_stream(
     watermark: str = "1 hour",
     window: str = "30 minutes",
     max_files: int = 5,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Category metrics of every window the watermark has closed."""
     events = with_watermark(stream_events(spark, source, schema, max_files), watermark)
     metrics = category_windows(events, window)
-    start_append(metrics, f"{out}/categories", f"{out}/_checkpoints/categories").awaitTermination()
+    with state_partitions(spark, partitions):
+        query = start_append(metrics, f"{out}/categories", f"{out}/_checkpoints/categories")
+    query.awaitTermination()
     return spark.read.schema(metrics.schema).parquet(f"{out}/categories")
 
 
-def run_speed_layer(spark: SparkSession, source: str, schema: T.StructType, out: str, max_files: int = 5) -> dict[str, DataFrame]:
+def run_speed_layer(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    out: str,
+    max_files: int = 5,
+    watermark: str = "1 hour",
+    partitions: int | None = None,
+) -> dict[str, DataFrame]:
     """The three queries side by side, each with its own checkpoint."""
     create_empty(spark, schema, f"{out}/events")
     raw = stream_events(spark, source, schema, max_files)
-    timed = with_watermark(raw)
+    timed = with_watermark(raw, watermark)
     streams = {"events": raw, "trending": trending_windows(timed), "categories": category_windows(timed)}
-    started = [start_append(stream, f"{out}/{name}", f"{out}/_checkpoints/{name}") for name, stream in streams.items()]
+    with state_partitions(spark, partitions):
+        started = [start_append(stream, f"{out}/{name}", f"{out}/_checkpoints/{name}") for name, stream in streams.items()]
     for query in started:
         query.awaitTermination()
     return {name: spark.read.schema(stream.schema).parquet(f"{out}/{name}") for name, stream in streams.items()}
