@@ -131,7 +131,7 @@ def evaluate(recommended: DataFrame, train_rows: DataFrame, truth: DataFrame, k:
     both = als.unionByName(base)
 
     def lift(name: str):
-        reference = base.select(name).scalar()
-        return F.when(reference > 0, F.round((F.col(name) / reference - 1) * 100, 1))
+        plain = base.select(name).scalar()
+        return F.when(plain > 0, F.round((F.col(name) / plain - 1) * 100, 1))
 
     return both.withColumns({"precision_lift_pct": lift("precision"), "recall_lift_pct": lift("recall")})

@@ -89,3 +89,18 @@ def test_temporal_split_keeps_order(make_events):
     train, test = temporal_split(events)
     assert sorted(r.product_id for r in test.collect()) == [8, 9]
     assert train.count() == 8
+
+
+def test_dominant_user_is_spread(spark, make_events):
+    """A third of all rows from one user must not meet in one task."""
+    rows = [(i * 400, V, i % 7, "c", "b", 1.0, 0 if i % 3 == 0 else i) for i in range(6000)]
+    events = make_events(rows)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed = sessions.assign_sessions(events).select("user_id", F.spark_partition_id().alias("task"))
+        sizes = [r["count"] for r in placed.filter("user_id = 0").groupBy("task").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 2000 and max(sizes) < 1000
