@@ -436,7 +436,7 @@ def similar_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _click_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     lines = testbed.ctr_rows(spark, sf_dir)
-    rows = materialise(click.prepare(lines), "click-rows")
+    rows = materialise(click.prepare(lines), "click-rows", spread=True)
     return clean.hash_split(rows, 0.2, *CTR_NUMERIC)
 
 
@@ -451,7 +451,7 @@ def ctr_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ctr_hashed_model")
 def ctr_hashed_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear model over numerics and hashed categoricals."""
-    rows = materialise(click.prepare(testbed.ctr_rows(spark, sf_dir), categorical=True), "click-rows")
+    rows = materialise(click.prepare(testbed.ctr_rows(spark, sf_dir), categorical=True), "click-rows", spread=True)
     train, test = clean.hash_split(rows, 0.2, *CTR_NUMERIC)
     model = click.train(train, click.logistic(20), click.hashed_stages())
     return click.metrics_frame(test, click.evaluate(model, test, "logistic"))

@@ -63,14 +63,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df, name: str, partition_by: list[str] | None = None):
+def materialise(df, name: str, partition_by: list[str] | None = None, spread: bool = False):
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage with files that outlive executors, so that iterative
-    consumers neither recompute the plan nor lose it with a node.
+    consumers neither recompute the plan nor lose it with a node. ``spread``
+    cuts a small input into a file per core, for consumers whose work per row
+    is large; inputs that already have more partitions keep them.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    cores = spark.sparkContext.defaultParallelism
+    if spread and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
