@@ -18,7 +18,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from basketlens.session import materialise
 
 #: A block ends once it holds so many characters; one document is never cut.
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 10_000_000
 
 #: White space of the splitting pattern (the Unicode property, which lacks 0x1C to 0x1F).
 _BLANK = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -50,12 +51,41 @@ def _own_pattern(pattern: str) -> str:
     return pattern.replace(r"[^\s", f"[^{_BLANK}").replace(r"(?!\S)", f"(?![^{_BLANK}])").replace(r"\s", f"[{_BLANK}]")
 
 
-def split_function(pattern: str):
-    """text -> list of matches, with a memory of runs that were split before."""
-    import regex
+class Runs(dict):
+    """Blank-free piece -> numbers of the pre-tokens of a blank and that piece; split on first use."""
 
-    pieces = regex.compile(_own_pattern(pattern)).findall
-    return re.compile(_RUN).findall, pieces
+    def __init__(self, pattern: str):
+        import regex
+
+        self.pieces = regex.compile(_own_pattern(pattern)).findall
+        self.whole = re.compile(_RUN).findall
+        self.stacked = re.compile(f"[{_BLANK}] | $").search
+        self.entries: dict[str, int] = {}
+        self.first: dict[str, tuple[int, ...]] = {}
+
+    def number(self, text: str) -> tuple[int, ...]:
+        entries = self.entries
+        return tuple([entries.setdefault(w, len(entries)) for w in self.pieces(text)])
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        found = self[piece] = self.number(" " + piece)
+        return found
+
+    def numbers(self, text: str) -> np.ndarray:
+        """The text's pre-tokens as numbers.
+
+        Unless white space stands before a blank (or a blank at the end), no
+        match crosses a blank's left side, so texts are cut at blanks.
+        """
+        if self.stacked(text):
+            found = [self.first.get(r) or self.first.setdefault(r, self.number(r)) for r in self.whole(text)]
+        else:
+            head, *rest = text.split(" ")
+            found = chain((self.number(head),), map(self.__getitem__, rest))
+        return np.fromiter(chain.from_iterable(found), np.int32)
+
+    def forget(self) -> None:
+        self.clear(), self.first.clear(), self.entries.clear()
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -76,13 +106,12 @@ def _cut(pattern: str, block_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        runs, pieces = split_function(pattern)
+        runs = Runs(pattern)
+        entries = runs.entries
         names = pa.schema(
             [("block", pa.int64()), ("entry", pa.int32()), ("word", pa.binary()), ("doc_id", pa.int64()), ("sequence", pa.binary())]
         )
         part, blocks = TaskContext.get().partitionId(), 0
-        known: dict[str, list[int]] = {}
-        entries: dict[str, int] = {}
         rows: list[tuple[int | None, np.ndarray]] = []
         size = 0
 
@@ -91,7 +120,7 @@ def _cut(pattern: str, block_chars: int):
             block = (part << 32) | blocks
             # Frequent pre-tokens get small numbers, which compress better.
             uses = np.bincount(np.concatenate([r[1] for r in rows]), minlength=len(entries))
-            number = np.empty(len(entries), np.int64)
+            number = np.empty(len(entries), np.int32)
             number[np.argsort(-uses, kind="stable")] = np.arange(len(entries))
             words = sorted((w.encode(), int(number[i])) for w, i in entries.items())
             for at in range(0, len(words), 50_000):
@@ -121,19 +150,13 @@ def _cut(pattern: str, block_chars: int):
                     schema=names,
                 )
             blocks += 1
-            known.clear(), entries.clear(), rows.clear()
+            runs.forget(), rows.clear()
             size = 0
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py() or ""
-                numbers: list[int] = []
-                for r in runs(text):
-                    found = known.get(r)
-                    if found is None:
-                        found = known[r] = [entries.setdefault(w, len(entries)) for w in pieces(r)]
-                    numbers += found
-                rows.append((doc_id, np.array(numbers, np.int64)))
+                rows.append((doc_id, runs.numbers(text)))
                 size += len(text) + 64
                 if size >= block_chars:
                     yield from flush()
@@ -180,7 +203,7 @@ def _answer(path: str, pattern: str):
                 kept[1].append(len(ids))
                 kept[2].extend(ids)
                 held += 1
-            if held >= 1_000_000:
+            if held >= 200_000:
                 yield from flush()
         yield from flush()
 
@@ -217,7 +240,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(docs, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
 
-def encode(docs: DataFrame, path: str, pattern: str, block_chars: int = BLOCK_CHARS, scan: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, block_chars: int = BLOCK_CHARS, scan: bool = False, follow: tuple[Callable, str] | None = None) -> DataFrame:
     """(doc_id, ids) for every row of ``docs`` (doc_id, text); ids are packed little-endian unsigned 32-bit numbers.
 
     Null and empty texts have no ids. Rows with the same or a null doc_id keep a
@@ -227,6 +250,8 @@ def encode(docs: DataFrame, path: str, pattern: str, block_chars: int = BLOCK_CH
     Both kinds of rows of step 1 come from a reading of their own, so the rows
     must come in the same order each time. ``scan`` says that ``docs`` is a plain
     scan of files, which does; other inputs are first written to the shared folder.
+    ``follow`` (function on Arrow batches, result schema) is applied to the rows in
+    the same pass, which saves a Python process a task.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     if not scan:
@@ -248,14 +273,18 @@ def encode(docs: DataFrame, path: str, pattern: str, block_chars: int = BLOCK_CH
         sequences.unionByName(answers)
         .repartition("block")
         .sortWithinPartitions(F.col("block"), F.col("sequence").isNotNull())
-        .mapInArrow(_assemble, "doc_id long, ids binary")
+        .mapInArrow(*((_assemble, "doc_id long, ids binary") if follow is None else (_after(follow[0]), follow[1])))
     )
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids, text bytes as ``bytes``) of ``encode``'s rows, by the table of token bytes (fixed, some 50,000 rows)."""
+def _after(then: Callable) -> Callable:
+    return lambda batches: then(_assemble(batches))
+
 
-    def run(batches):
+def decoder(path: str) -> Callable:
+    """Batches (doc_id, ids) -> (doc_id, ids, bytes), by the table of token bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = {rank: token for token, rank in read_ranks(path).items()}
         for batch in batches:
             text = [
@@ -263,23 +292,33 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             ]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(text, pa.binary())], names=["doc_id", "ids", "bytes"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, bytes binary")
+    return run
 
 
-def digest(decoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256)."""
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids, text bytes as ``bytes``) of ``encode``'s rows; the token-byte table is fixed, some 50,000 rows."""
+    return encoded.select("doc_id", "ids").mapInArrow(decoder(path), "doc_id long, ids binary, bytes binary")
 
-    def run(batches):
-        for batch in batches:
+
+DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def digests(path: str) -> Callable:
+    """Batches (doc_id, ids) -> DIGEST rows of the ids and of what they decode to."""
+    decoded = decoder(path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = list(map(str, range(1 + max(read_ranks(path).values()))))
+        for batch in decoded(batches):
             counts, shas = [], []
             for ids in batch.column(1).to_pylist():
                 numbers = np.frombuffer(ids, "<u4").tolist()
                 counts.append(len(numbers))
-                shas.append(hashlib.sha256(" ".join(map(str, numbers)).encode()).hexdigest())
+                shas.append(hashlib.sha256(" ".join(map(names.__getitem__, numbers)).encode()).hexdigest())
             texts = [hashlib.sha256(t).hexdigest() for t in batch.column(2).to_pylist()]
             yield pa.record_batch(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(shas), pa.array(texts)],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return run

@@ -26,8 +26,8 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import PATTERN
 
     path = vocabulary("byte_bpe_50k.tiktoken")
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, PATTERN, scan=True)
-    return byte_bpe.digest(byte_bpe.decode(encoded, path))
+    docs = table(spark, sf_dir, "documents")
+    return byte_bpe.encode(docs, path, PATTERN, scan=True, follow=(byte_bpe.digests(path), byte_bpe.DIGEST))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
