@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import byte_bpe
+from basketlens.llm import byte_bpe, license_scan, packing, quality_qda, quality_rules, sharding
 from basketlens.llm.common import table
 
 
@@ -21,6 +21,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality of every document by shrunk quadratic discriminants."""
+    return quality_qda.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the hashed n-gram verdict of every document."""
+    return quality_rules.rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by global distinct pre-tokens, decoded again, as digests."""
     from public_tokenizers import PATTERN
@@ -30,11 +40,31 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(docs, path, PATTERN, scan=True, follow=(byte_bpe.digests(path), byte_bpe.DIGEST))
 
 
+def op6_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard; shards hold 64 MiB at most."""
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their place in sequences of 4096 tokens."""
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_qda": op1_quality_qda,
+        "op4_quality_rules": op4_quality_rules,
         "op5_byte_bpe": op5_byte_bpe,
+        "op6_extendible_sharding": op6_extendible_sharding,
+        "op9_license_scan": op9_license_scan,
+        "op10_best_fit_packing": op10_best_fit_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_extendible_sharding": sharding.SHARDS_SQL.format(limit=sharding.LIMIT)}
