@@ -176,7 +176,8 @@ class Scanner:
 
     def _chain(self, matches: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
         """Greedy chains in file order: a match extends its template's chain if it lies behind it in both, not too far."""
-        spans, open_: list = [], [None] * len(self.labels)
+        spans: list[tuple[str, int, int, float]] = []
+        open_: list[list[int] | None] = [None] * len(self.labels)
 
         def close(t):
             chain = open_[t]
