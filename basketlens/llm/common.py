@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from basketlens.session import materialise
 
@@ -81,6 +82,8 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and the offset of each row (one more than rows); null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if pa.types.is_null(column.type):
+        column = column.cast(pa.string())
     if column.null_count:
         column = column.fill_null("")
     wide = np.int64 if pa.types.is_large_string(column.type) else np.int32
@@ -157,6 +160,23 @@ def window_hashes(hashes: np.ndarray, width: int, powers: Powers) -> np.ndarray:
     return powers.spans(hashes, at, at + width)
 
 
+def appended(docs: DataFrame, extra: str, make, limit: int = PIECE) -> DataFrame:
+    """``docs`` with all its columns and those of ``extra`` (a schema), which ``make()(slice)`` yields as a list of arrays.
+
+    One pass, no exchange: what a filter needs besides the rows travels with them.
+    """
+    schema = StructType([*docs.schema.fields, *StructType.fromDDL(extra).fields])
+    names = schema.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        measure = make()
+        for batch in batches:
+            for piece in slices(batch, "text", limit):
+                yield pa.record_batch([*piece.columns, *measure(piece)], names=names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> np.ndarray:
     """Weighted logistic regression by damped Newton steps; the first coefficient is the intercept and not penalised."""
     x = np.column_stack([np.ones(len(x)), x]).astype(float)

@@ -14,9 +14,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from basketlens.llm import textstats
-from basketlens.llm.common import Powers, Words, held_out, labelled, sigmoid, slices
+from basketlens.llm.common import Powers, Words, appended, held_out, labelled, sigmoid
 from basketlens.llm.quality_rules import calibrate, calibrating
 from basketlens.session import materialise
 
@@ -53,29 +54,29 @@ def statistics(words: Words, powers: Powers, kinds: np.ndarray) -> np.ndarray:
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """(doc_id, x array<double>) of every row."""
+    """``docs`` with _x, the statistics of each row."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         powers, kinds = Powers(), textstats.class_table()
-        for batch in batches:
-            for piece in slices(batch, "text"):
-                x = statistics(Words(piece.column("text")), powers, kinds)
-                offsets = pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32())
-                yield pa.record_batch(
-                    [piece.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))], names=["doc_id", "x"]
-                )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, x array<double>")
+        def run(piece: pa.RecordBatch) -> list[pa.Array]:
+            x = statistics(Words(piece.column("text")), powers, kinds)
+            offsets = pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32())
+            return [pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))]
+
+        return run
+
+    return appended(docs, "_x array<double>", make)
 
 
 def moments(rows: DataFrame) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
-    """Count, sums and sums of products of ``x`` for each class ``y``, added up by task and then over tasks."""
+    """Count, sums and sums of products of ``_x`` for each class ``y``, added up by task and then over tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             y = batch.column("y").to_numpy()
-            x = batch.column("x").flatten().to_numpy().reshape(len(y), -1)
+            x = batch.column("_x").flatten().to_numpy().reshape(len(y), -1)
             x = np.column_stack([np.ones(len(x)), x])
             for label in np.unique(y):
                 part = x[y == label]
@@ -87,7 +88,7 @@ def moments(rows: DataFrame) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
                 names=["y", "i", "v"],
             )
 
-    added = rows.select("y", "x").mapInArrow(run, "y int, i int, v double").groupBy("y", "i").agg(F.sum("v").alias("v")).collect()
+    added = rows.select("y", "_x").mapInArrow(run, "y int, i int, v double").groupBy("y", "i").agg(F.sum("v").alias("v")).collect()
     out = {}
     for label in {r.y for r in added}:
         own = {r.i: r.v for r in added if r.y == label}
@@ -134,8 +135,8 @@ class Discriminant:
         return np.sign(diff) * np.where(np.abs(diff) > 50, 50 + np.log1p(np.maximum(np.abs(diff) - 50, 0)), np.abs(diff))
 
 
-def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row of ``docs`` (doc_id, text).
+def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text and others) with ``_score``; the texts are read once.
 
     All labelled rows that are not held out are used: three quarters of the ids for
     the densities, the rest for the calibration. With labels of one class only, the
@@ -144,31 +145,46 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
     """
     measured = materialise(measure(docs), "quality-statistics")
     teach = labelled(docs, labels, "quality")
-    known = measured.join(teach, "doc_id")
+    small = measured.select(F.col("doc_id").cast("long").alias("doc_id"), "_x")
+    known = small.join(teach, "doc_id")
     sums = moments(known.where(~calibrating()))
-    if len(sums) < 2:
-        bins = known.groupBy(F.lit(0.0).alias("m"), "y").count().collect()
-        model = None
-    else:
-        model = Discriminant(sums)
+    model = Discriminant(sums) if len(sums) == 2 else None
+
+    def differences(column: pa.Array) -> np.ndarray:
+        n = len(column)
+        return model.difference(column.flatten().to_numpy().reshape(n, -1)) if n and model is not None else np.zeros(n)
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([batch.column("y"), pa.array(differences(batch.column("_x")))], names=["y", "m"])
+
+    bins = (
+        known.where(calibrating() if model is not None else F.lit(True))
+        .select("y", "_x")
+        .mapInArrow(margins, "y int, m double")
+        .groupBy(F.round(F.col("m") * 10).alias("m"), "y")  # differences are softened, so there are some thousand steps
+        .count()
+        .collect()
+    )
+    a, b = calibrate(bins, 10.0)
+    schema = StructType([*docs.schema.fields, StructField("_margin", DoubleType())])
+    names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            x = batch.column("x").flatten().to_numpy().reshape(n, -1) if n else np.zeros((0, FEATURES))
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(model.difference(x) if model is not None else np.zeros(n))], names=["doc_id", "m"]
-            )
+            yield pa.record_batch([*batch.columns[:-1], pa.array(differences(batch.column("_x")))], names=names)
 
-    raw = measured.mapInArrow(run, "doc_id long, m double")
-    if model is not None:
-        bins = (
-            raw.where(calibrating())
-            .join(teach, "doc_id")
-            .groupBy(F.round(F.col("m") * 10).alias("m"), "y")
-            .count()
-            .collect()
-        )
-    a, b = calibrate(bins, 10.0)
-    scored = raw.withColumn("score", sigmoid(F.lit(a) + F.lit(b) * F.col("m")))
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return measured.mapInArrow(run, schema).withColumn("_score", sigmoid(F.lit(a) + F.lit(b) * F.col("_margin"))).drop("_margin")
+
+
+def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row of ``docs``; see ``scored``."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return scored(docs, labels).select(
+        "doc_id", held_out().alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted")
+    )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, as they are."""
+    return scored(docs, labels).where(F.col("_score") >= threshold).drop("_score")

@@ -7,7 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import byte_bpe, license_scan, packing, quality_qda, quality_rules, sharding
+from basketlens.llm import (
+    byte_bpe,
+    embedding_dedup,
+    license_scan,
+    minhash,
+    packing,
+    quality_qda,
+    quality_rules,
+    sharding,
+    substring_dedup,
+    toxicity,
+)
 from basketlens.llm.common import table
 
 
@@ -26,6 +37,16 @@ def op1_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without its repeated 35-word windows."""
+    return substring_dedup.digest(substring_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated toxicity of every document by compression distance."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and the hashed n-gram verdict of every document."""
     return quality_rules.rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -45,6 +66,16 @@ def op6_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at a cosine of 0.93 or more."""
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document: five-word shingles, similarity 0.8 or more."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and notices of every document."""
     return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
@@ -58,9 +89,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_qda": op1_quality_qda,
+        "op2_substring_dedup": op2_substring_dedup,
+        "op3_toxicity": op3_toxicity,
         "op4_quality_rules": op4_quality_rules,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_extendible_sharding": op6_extendible_sharding,
+        "op7_embedding_dedup": op7_embedding_dedup,
+        "op8_minhash_dedup": op8_minhash_dedup,
         "op9_license_scan": op9_license_scan,
         "op10_best_fit_packing": op10_best_fit_packing,
     }

@@ -160,41 +160,9 @@ def _spell(window: int, levels: int):
     return run
 
 
-def _cut(window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text")
-            sizes, gone, kept = [], [], []
-            for row in range(batch.num_rows):
-                raw = (texts[row].as_py() or "").encode()
-                words = raw.split()
-                starts = batch.column("starts")[row]
-                n = len(words)
-                if starts.is_valid and n:
-                    at = starts.values.to_numpy()
-                    cover = np.zeros(n + 1, np.int64)
-                    np.add.at(cover, at, 1)
-                    np.subtract.at(cover, np.minimum(at + window, n), 1)
-                    stay = np.cumsum(cover[:n]) == 0
-                    words = [words[i] for i in np.flatnonzero(stay).tolist()]
-                sizes.append(n)
-                gone.append(n - len(words))
-                kept.append(b" ".join(words).decode())
-            yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("h"), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
-                names=["doc_id", "h", "n_words", "n_removed", "kept"],
-            )
-
-    return run
-
-
-KEPT = "doc_id long, h long, n_words long, n_removed long, kept string"
-
-
 def repeats(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS) -> DataFrame:
-    """(doc_id, h, text, starts): ``docs`` with the sorted starts (word numbers) of the windows that occur more than once; null if none.
-
-    ``h`` is a hash of the text. Every row counts, so the windows of equal rows
+    """``docs`` (doc_id, text and others) with _starts: word numbers at which windows start that occur more than once; null if none.
+ Every row counts, so the windows of equal rows
     are repeats of each other. Texts of under ``window`` words, empty and null ones
     have no window.
     """
@@ -223,15 +191,45 @@ def repeats(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS) -> Data
     starts = (
         spelt.join(twice, ["one", "two"], "left_semi")
         .groupBy("doc_id", "h")
-        .agg(F.collect_set("start").alias("starts"))
-        .select(F.col("doc_id").alias("i"), F.col("h").alias("g"), "starts")
+        .agg(F.collect_set("start").alias("_starts"))
+        .select(F.col("doc_id").alias("_i"), F.col("h").alias("_g"), "_starts")
     )
-    return own.join(starts, here, "left").select("doc_id", "h", "text", "starts")
+    whole = docs.withColumn("_h", F.xxhash64(F.col("text").cast("string")))
+    same = F.col("_i").eqNullSafe(F.col("doc_id").cast("long")) & (F.col("_h") == F.col("_g"))
+    return whole.join(starts, same, "left").drop("_h", "_i", "_g")
+
+
+def _cut(window: int):
+    def cut(text: pa.Scalar, starts: pa.Scalar) -> tuple[int, int, bytes]:
+        """Number of words, of words that go, and the words that stay joined by a blank."""
+        words = (text.as_py() or "").encode().split()
+        n = len(words)
+        if starts.is_valid and n:
+            at = starts.values.to_numpy()
+            cover = np.zeros(n + 1, np.int64)
+            np.add.at(cover, at, 1)
+            np.subtract.at(cover, np.minimum(at + window, n), 1)
+            words = [words[i] for i in np.flatnonzero(np.cumsum(cover[:n]) == 0).tolist()]
+        return n, n - len(words), b" ".join(words)
+
+    return cut
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS) -> DataFrame:
-    """(doc_id, h, n_words, n_removed, kept): ``kept`` are the words that stay, joined by a blank."""
-    return repeats(docs, window, levels).mapInArrow(_cut(window), KEPT)
+    """(doc_id, n_words, n_removed, kept): ``kept`` are the words that stay, joined by a blank."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    cut = _cut(window)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text", 1 << 23):
+                n, gone, kept = zip(*map(cut, piece.column("text"), piece.column("_starts")))
+                yield pa.record_batch(
+                    [piece.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                    names=["doc_id", "n_words", "n_removed", "kept"],
+                )
+
+    return repeats(own, window, levels).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def digest(removed: DataFrame) -> DataFrame:
@@ -244,15 +242,20 @@ def clean(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS) -> DataFr
 
     A column ``n_chars`` follows the text.
     """
-    lost = remove_repeats(docs, window, levels).where("n_removed > 0").select(
-        F.col("doc_id").alias("_i"), F.col("h").alias("_g"), F.col("kept").alias("_kept")
-    )
-    lost = lost.dropDuplicates(["_i", "_g"])
-    joined = docs.withColumn("_h", F.xxhash64(F.col("text").cast("string"))).join(
-        lost, F.col("doc_id").cast("long").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_g")), "left"
-    )
-    changed = {"text": F.coalesce("_kept", "text")}
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(F.col("_kept").isNotNull(), F.char_length("_kept").cast(kind)).otherwise(F.col("n_chars"))
-    return joined.withColumns(changed).drop("_h", "_i", "_g", "_kept")
+    cut, schema = _cut(window), docs.schema
+    counts = "n_chars" in docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text", 1 << 23):
+                texts, starts = piece.column("text"), piece.column("_starts")
+                new = [cut(t, s)[2].decode() if s.is_valid else t.as_py() for t, s in zip(texts, starts)]
+                columns = dict(zip(piece.schema.names[:-1], piece.columns[:-1]))
+                columns["text"] = pa.array(new, texts.type)
+                if counts:
+                    old = columns["n_chars"]
+                    sizes = [len(t) if s.is_valid else c for t, s, c in zip(new, starts, old.to_pylist())]
+                    columns["n_chars"] = pa.array(sizes, old.type)
+                yield pa.record_batch(list(columns.values()), names=list(columns))
+
+    return repeats(docs, window, levels).mapInArrow(run, schema)

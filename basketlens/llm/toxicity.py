@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import fit_logistic, held_out, labelled, sigmoid
+from basketlens.llm.common import appended, fit_logistic, held_out, labelled, sigmoid
 from basketlens.llm.quality_rules import calibrating
 from basketlens.session import materialise
 
@@ -235,10 +235,10 @@ def gains(raw: bytes, ordinary, toxic) -> list[int]:
 
 
 def measure(docs: DataFrame, dictionaries: tuple[bytes, bytes] | None) -> DataFrame:
-    """(doc_id, first, second, n): the largest gain, the largest of windows that don't overlap it, and the number of windows."""
+    """``docs`` with _first, _second, _n: the largest gain, the largest of windows that don't overlap it, and the number of windows."""
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         pair = None
         if shared.value is not None:
             how = zstandard.ZstdCompressionParameters(
@@ -249,27 +249,25 @@ def measure(docs: DataFrame, dictionaries: tuple[bytes, bytes] | None) -> DataFr
                 zstandard.ZstdCompressor(compression_params=how, dict_data=zstandard.ZstdCompressionDict(d, dict_type=raw))
                 for d in shared.value
             ]
-        for batch in batches:
+
+        def run(piece: pa.RecordBatch) -> list[pa.Array]:
             first, second, n = [], [], []
-            for text in batch.column(1):
+            for text in piece.column("text"):
                 found = gains(plain(text.as_py() or ""), *pair) if pair else [0]
                 best = max(range(len(found)), key=found.__getitem__)
                 rest = found[: max(0, best - 1)] + found[best + 2 :]
                 first.append(found[best])
                 second.append(max(rest, default=0))
                 n.append(len(found))
-            yield pa.record_batch(
-                [batch.column(0), pa.array(first, pa.int32()), pa.array(second, pa.int32()), pa.array(n, pa.int64())],
-                names=["doc_id", "first", "second", "n"],
-            )
+            return [pa.array(first, pa.int32()), pa.array(second, pa.int32()), pa.array(n, pa.int64())]
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, first int, second int, n long"
-    )
+        return run
 
+    return appended(docs, "_first int, _second int, _n long", make)
 
-def score(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row of ``docs`` (doc_id, text), all windows of the text seen.
+
+def scored(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """``docs`` (doc_id, text and others) with ``_score``, after one pass over all windows of all texts.
 
     Without labels of both classes, or without passages that mark toxic texts,
     the score is the share of toxic labels (0 without labels). Null text counts as
@@ -277,23 +275,40 @@ def score(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, threshol
     """
     dictionaries = train(docs, labels, fit_rows)
     measured = materialise(measure(docs, dictionaries), "toxicity-gains")
-    clip = lambda c: F.greatest(F.lit(-4), F.least(F.lit(16), F.col(c))).alias(c)
-    size = F.round(F.log2(F.col("n") + 1)).alias("size")
-    shaped = measured.select("doc_id", clip("first"), clip("second"), size)
+    clip = lambda c: F.greatest(F.lit(-4), F.least(F.lit(16), F.col(c)))
+    shape = {"first": clip("_first"), "second": clip("_second"), "size": F.round(F.log2(F.col("_n") + 1))}
     teach = labelled(docs, labels, "toxic").where(calibrating())
-    # 21 * 21 gains and some twenty sizes at most.
-    cells = shaped.join(teach, "doc_id").groupBy("first", "second", "size", "y").count().collect()
+    # 21 * 21 gains and some forty sizes at most.
+    cells = (
+        measured.select(F.col("doc_id").cast("long").alias("doc_id"), *(c.alias(n) for n, c in shape.items()))
+        .join(teach, "doc_id")
+        .groupBy(*shape, "y")
+        .count()
+        .collect()
+    )
     beta = np.array([-700.0, 0, 0, 0])
     if cells:
         y, w = np.array([r.y for r in cells], float), np.array([r["count"] for r in cells], float)
-        x = np.array([[r["first"], r["second"], r["size"]] for r in cells], float)
+        x = np.array([[r[n] for n in shape] for r in cells], float)
         share = float((w * y).sum() / w.sum())
         if 0 < share < 1 and dictionaries is not None:
             beta = fit_logistic(x, y, w, ridge=1e-5)
         else:
             beta[0] = np.log(share / (1 - share)) if 0 < share < 1 else 700.0 * (1 if share else -1)
     margin = F.lit(float(beta[0]))
-    for name, b in zip(("first", "second", "size"), beta[1:]):
-        margin = margin + F.lit(float(b)) * F.col(name)
-    scored = shaped.withColumn("score", sigmoid(margin))
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    for c, b in zip(shape.values(), beta[1:]):
+        margin = margin + F.lit(float(b)) * c
+    return measured.withColumn("_score", sigmoid(margin)).drop("_first", "_second", "_n")
+
+
+def score(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row of ``docs``; see ``scored``."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return scored(docs, labels, fit_rows).select(
+        "doc_id", held_out().alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted")
+    )
+
+
+def keep_ordinary(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score stays under the threshold, as they are."""
+    return scored(docs, labels, fit_rows).where(F.col("_score") < threshold).drop("_score")
