@@ -8,10 +8,12 @@ Of the symbols that lie ``reach`` words inside a window, the one with the
 smallest hash stands for the window (an anchor, with the words around it in
 its name): two equal windows have equal anchors at the same place.
 
-Spark counts anchors over all documents. Only windows of anchors that occur
-more than once are spelt out, as 128-bit names, and counted in turn; the words
-under a window that occurs more than once go. Windows inside long runs have no
-anchor and are always spelt out.
+Spark counts anchors over all documents, then, of anchors that occur more than
+once, their surroundings (all windows that an anchor stands for): where these
+are equal too, all of the windows are repeats. Only where surroundings of an
+anchor differ, windows are spelt out, once for each kind of surroundings, as
+128-bit names, and counted in turn. The words under a window that occurs more
+than once go. Windows inside long runs have no anchor and are always spelt out.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ WINDOW = 35
 LEVELS = 2
 
 _BASE_2 = 0xD1342543DE82EF95
+#: Stands for the name of texts with windows that have no anchor.
+FREE = np.uint64(0x0F2EE0F2EE0F2EE)
 
 
 def reach(levels: int = LEVELS) -> int:
@@ -114,18 +118,26 @@ def _find(window: int, levels: int):
         for batch in batches:
             for piece in slices(batch, "text"):
                 x = _Rows(piece.column("text"), powers, window, levels)
-                at = np.unique(x.anchor[x.anchor >= 0])
-                free = np.unique(x.rows[x.start[x.anchor < 0]])
+                has = x.anchor >= 0
+                # The windows of an anchor are neighbours.
+                at, first, n = np.unique(x.anchor[has], return_index=True, return_counts=True)
+                start = x.start[has][first]
+                near = powers.spans(x.names, start, start + n - 1 + window)
+                near = mix(near + mix((at - start).astype(np.uint64)))
+                free = np.unique(x.rows[x.start[~has]])
                 row = np.concatenate([x.rows[at], free])
-                take = pa.array(row)
+                take, none = pa.array(row), np.zeros(len(free), np.uint64)
                 yield pa.record_batch(
                     [
                         piece.column("doc_id").take(take),
-                        piece.column("h").take(take),
+                        piece.column("_h").take(take),
                         pa.array(np.concatenate([at - x.words.first[row[: len(at)]], np.full(len(free), -1)]).astype(np.int32)),
-                        pa.array(np.concatenate([x.around(at, powers, levels), np.zeros(len(free), np.uint64)]).view(np.int64)),
+                        pa.array(np.concatenate([at - start, none]).astype(np.int32)),
+                        pa.array(np.concatenate([n, none]).astype(np.int32)),
+                        pa.array(np.concatenate([x.around(at, powers, levels), none + FREE]).view(np.int64)),
+                        pa.array(np.concatenate([near, none]).view(np.int64)),
                     ],
-                    names=["doc_id", "h", "at", "name"],
+                    names=["doc_id", "h", "at", "back", "n", "name", "near"],
                 )
 
     return run
@@ -137,65 +149,85 @@ def _spell(window: int, levels: int):
         for batch in batches:
             for piece in slices(batch, "text", 1 << 20):
                 x = _Rows(piece.column("text"), powers, window, levels)
-                marked = np.zeros(len(x.names) + 1, bool)
+                weight = np.zeros(len(x.names) + 1, np.int32)
                 lists = piece.column("places")
                 row = np.repeat(np.arange(piece.num_rows), np.diff(lists.offsets.to_numpy()))
-                places = lists.flatten().to_numpy().astype(np.int64)
-                marked[x.words.first[row[places >= 0]] + places[places >= 0]] = True
-                chosen = x.start[(x.anchor < 0) | marked[x.anchor]]
+                asked = lists.flatten()
+                place = asked.field("at").to_numpy().astype(np.int64)
+                real = place >= 0
+                weight[x.words.first[row[real]] + place[real]] = asked.field("weight").to_numpy()[real]
+                weight = np.where(x.anchor < 0, 1, weight[x.anchor])
+                chosen = x.start[weight > 0]
                 one, two = (window_hashes(x.names, window, p)[chosen] for p in (powers, second))
                 row = x.rows[chosen]
                 take = pa.array(row)
                 yield pa.record_batch(
                     [
                         piece.column("doc_id").take(take),
-                        piece.column("h").take(take),
+                        piece.column("_h").take(take),
                         pa.array((chosen - x.words.first[row]).astype(np.int32)),
                         pa.array(one.view(np.int64)),
                         pa.array(two.view(np.int64)),
+                        pa.array(weight[weight > 0].astype(np.int32)),
                     ],
-                    names=["doc_id", "h", "start", "one", "two"],
+                    names=["doc_id", "h", "start", "one", "two", "weight"],
                 )
 
     return run
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS) -> DataFrame:
-    """``docs`` (doc_id, text and others) with _starts: word numbers at which windows start that occur more than once; null if none.
- Every row counts, so the windows of equal rows
-    are repeats of each other. Texts of under ``window`` words, empty and null ones
-    have no window.
+    """``docs`` (doc_id, text and others) with _starts: (start, n) of neighbouring windows that occur more than once; null if none.
+
+    Every row counts, so the windows of equal rows are repeats of each other.
+    Texts of under ``window`` words, empty and null ones have no window.
     """
     if window - 2 * reach(levels) < 1 << levels:
         raise ValueError("the window is too short for so many levels")
-    own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("h", F.xxhash64("text"))
-    found = materialise(own.mapInArrow(_find(window, levels), "doc_id long, h long, at int, name long"), "anchors")
-    named = found.where("at >= 0")
-    shared = named.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    spark = docs.sparkSession
+    # Rows are known by their id and a hash of their text; rows that share both are equal, and so are their results.
+    whole = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}).withColumn(
+        "_h", F.xxhash64("text")
+    )
+    found = whole.select("doc_id", "text", "_h").mapInArrow(
+        _find(window, levels), "doc_id long, h long, at int, back int, n int, name long, near long"
+    )
+    many = found.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name")
+    free = spark.range(1).select(F.lit(int(np.uint64(FREE).view(np.int64))).alias("name"))
+    shared = materialise(found.join(many.unionByName(free).distinct(), "name", "left_semi"), "anchors")
+    # Anchors with equal surroundings: all their windows are repeats.
+    around = materialise(
+        shared.where("at >= 0")
+        .groupBy("name", "near")
+        .agg(F.count("*").alias("k"), F.min(F.struct("doc_id", "h", "at")).alias("one")),
+        "surroundings",
+    )
+    # Where an anchor's surroundings differ, the windows of each kind are spelt out once; kinds of several places weigh more.
+    mixed = around.where("k = 1").select("name").distinct()
+    asked = around.join(mixed, "name", "left_semi").select("one.*", F.least("k", F.lit(2)).cast("int").alias("weight"))
+    free = shared.where("at < 0").select("doc_id", "h", "at", F.lit(1).alias("weight")).distinct()
     places = (
-        named.join(shared, "name", "left_semi")
-        .select("doc_id", "h", "at")
-        .unionByName(found.where("at < 0").select("doc_id", "h", "at"))
+        asked.unionByName(free)
         .groupBy("doc_id", "h")
-        .agg(F.collect_set("at").alias("places"))
-        .select(F.col("doc_id").alias("i"), F.col("h").alias("g"), "places")
+        .agg(F.collect_list(F.struct("at", "weight")).alias("places"))
+        .select(F.col("doc_id").alias("_i"), F.col("h").alias("_g"), "places")
     )
-    here = F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("g"))
-    spelt = materialise(
-        own.join(places, here)
-        .select("doc_id", "h", "text", "places")
-        .mapInArrow(_spell(window, levels), "doc_id long, h long, start int, one long, two long"),
-        "windows",
+    same = F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_g"))
+    spelt = (
+        whole.join(places, same)
+        .select("doc_id", "_h", "text", "places")
+        .mapInArrow(_spell(window, levels), "doc_id long, h long, start int, one long, two long, weight int")
     )
-    twice = spelt.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
+    twice = spelt.groupBy("one", "two").agg(F.sum("weight").alias("k")).where("k > 1").select("one", "two")
+    several = around.where("k > 1").select("name", "near")
     starts = (
         spelt.join(twice, ["one", "two"], "left_semi")
+        .select("doc_id", "h", "start", F.lit(1).alias("n"))
+        .unionByName(shared.join(several, ["name", "near"], "left_semi").select("doc_id", "h", (F.col("at") - F.col("back")).alias("start"), "n"))
         .groupBy("doc_id", "h")
-        .agg(F.collect_set("start").alias("_starts"))
+        .agg(F.collect_set(F.struct("start", "n")).alias("_starts"))
         .select(F.col("doc_id").alias("_i"), F.col("h").alias("_g"), "_starts")
     )
-    whole = docs.withColumn("_h", F.xxhash64(F.col("text").cast("string")))
-    same = F.col("_i").eqNullSafe(F.col("doc_id").cast("long")) & (F.col("_h") == F.col("_g"))
     return whole.join(starts, same, "left").drop("_h", "_i", "_g")
 
 
@@ -205,10 +237,10 @@ def _cut(window: int):
         words = (text.as_py() or "").encode().split()
         n = len(words)
         if starts.is_valid and n:
-            at = starts.values.to_numpy()
+            at = starts.values.field("start").to_numpy()
             cover = np.zeros(n + 1, np.int64)
             np.add.at(cover, at, 1)
-            np.subtract.at(cover, np.minimum(at + window, n), 1)
+            np.subtract.at(cover, np.minimum(at + starts.values.field("n").to_numpy() - 1 + window, n), 1)
             words = [words[i] for i in np.flatnonzero(np.cumsum(cover[:n]) == 0).tolist()]
         return n, n - len(words), b" ".join(words)
 
