@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections import deque
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -30,15 +31,13 @@ from pyspark.sql import functions as F
 from basketlens.session import materialise
 
 #: A block ends once it holds so many characters; one document is never cut.
-BLOCK_CHARS = 10_000_000
+BLOCK_CHARS = 16_000_000
 
 #: White space of the splitting pattern (the Unicode property, which lacks 0x1C to 0x1F).
 _BLANK = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: No match of the pattern crosses the borders of these runs, except that a blank may lead a run.
 _RUN = f" ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"
 
-_SCHEMA = "block long, entry int, word binary, doc_id long, sequence binary"
-
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes and ranks of a rank file."""
@@ -77,12 +76,17 @@ class Runs(dict):
         Unless white space stands before a blank (or a blank at the end), no
         match crosses a blank's left side, so texts are cut at blanks.
         """
+        return np.fromiter(chain.from_iterable(self.found(text)), np.int32)
+
+    def found(self, text: str) -> Iterator[tuple[int, ...]]:
         if self.stacked(text):
-            found = [self.first.get(r) or self.first.setdefault(r, self.number(r)) for r in self.whole(text)]
-        else:
-            head, *rest = text.split(" ")
-            found = chain((self.number(head),), map(self.__getitem__, rest))
-        return np.fromiter(chain.from_iterable(found), np.int32)
+            return iter([self.first.get(r) or self.first.setdefault(r, self.number(r)) for r in self.whole(text)])
+        head, *rest = text.split(" ")
+        return chain((self.number(head),), map(self.__getitem__, rest))
+
+    def learn(self, text: str) -> None:
+        """Numbers the text's pre-tokens, in the same order."""
+        deque(self.found(text), maxlen=0)
 
     def forget(self) -> None:
         self.clear(), self.first.clear(), self.entries.clear()
@@ -93,7 +97,7 @@ def _packed(values: np.ndarray) -> bytes:
     kind = np.uint16 if not len(values) or values.max() < 1 << 16 else np.uint32
     raw = values.astype(kind)
     planes = np.frombuffer(raw.tobytes(), np.uint8).reshape(-1, raw.itemsize).T.tobytes()
-    return bytes([raw.itemsize]) + zstandard.ZstdCompressor(level=1).compress(planes)
+    return bytes([raw.itemsize]) + zstandard.ZstdCompressor(level=3).compress(planes)
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
@@ -102,66 +106,55 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return planes.reshape(width, -1).T.copy().view(np.uint16 if width == 2 else np.uint32).ravel()
 
 
-def _cut(pattern: str, block_chars: int):
+def _blocks(pattern: str, block_chars: int, sequences: bool):
+    """Documents -> the sequences (block, doc_id, sequence) or the pre-tokens (block, entry, word) of each block.
+
+    Pre-tokens are numbered in order of appearance in both.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         runs = Runs(pattern)
-        entries = runs.entries
-        names = pa.schema(
-            [("block", pa.int64()), ("entry", pa.int32()), ("word", pa.binary()), ("doc_id", pa.int64()), ("sequence", pa.binary())]
-        )
-        part, blocks = TaskContext.get().partitionId(), 0
-        rows: list[tuple[int | None, np.ndarray]] = []
-        size = 0
+        part, blocks, size = TaskContext.get().partitionId(), 0, 0
+        rows: list[tuple[int | None, bytes]] = []
 
         def flush():
             nonlocal size, blocks
             block = (part << 32) | blocks
-            # Frequent pre-tokens get small numbers, which compress better.
-            uses = np.bincount(np.concatenate([r[1] for r in rows]), minlength=len(entries))
-            number = np.empty(len(entries), np.int32)
-            number[np.argsort(-uses, kind="stable")] = np.arange(len(entries))
-            words = sorted((w.encode(), int(number[i])) for w, i in entries.items())
-            for at in range(0, len(words), 50_000):
-                part_of = words[at : at + 50_000]
-                n = len(part_of)
-                yield pa.record_batch(
-                    [
-                        pa.array(np.full(n, block)),
-                        pa.array([i for _, i in part_of], pa.int32()),
-                        pa.array([w for w, _ in part_of], pa.binary()),
-                        pa.nulls(n, pa.int64()),
-                        pa.nulls(n, pa.binary()),
-                    ],
-                    schema=names,
-                )
-            for at in range(0, len(rows), 1000):
-                part_of = rows[at : at + 1000]
-                n = len(part_of)
-                yield pa.record_batch(
-                    [
-                        pa.array(np.full(n, block)),
-                        pa.nulls(n, pa.int32()),
-                        pa.nulls(n, pa.binary()),
-                        pa.array([r[0] for r in part_of], pa.int64()),
-                        pa.array([_packed(number[r[1]]) for r in part_of], pa.binary()),
-                    ],
-                    schema=names,
-                )
-            blocks += 1
+            if sequences:
+                for at in range(0, len(rows), 1000):
+                    ids, packed = zip(*rows[at : at + 1000])
+                    yield pa.record_batch(
+                        [pa.array(np.full(len(ids), block)), pa.array(ids, pa.int64()), pa.array(packed, pa.binary())],
+                        names=["block", "doc_id", "sequence"],
+                    )
+            else:
+                words = sorted(runs.entries.items())  # neighbours share beginnings, which compresses
+                for at in range(0, len(words), 50_000):
+                    word, entry = zip(*words[at : at + 50_000])
+                    yield pa.record_batch(
+                        [
+                            pa.array(np.full(len(word), block)),
+                            pa.array(entry, pa.int32()),
+                            pa.array([w.encode() for w in word], pa.binary()),
+                        ],
+                        names=["block", "entry", "word"],
+                    )
             runs.forget(), rows.clear()
-            size = 0
+            blocks, size = blocks + 1, 0
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py() or ""
-                rows.append((doc_id, runs.numbers(text)))
+                if sequences:
+                    rows.append((doc_id, _packed(runs.numbers(text))))
+                else:
+                    runs.learn(text)
                 size += len(text) + 64
                 if size >= block_chars:
                     yield from flush()
-        if rows:
-            yield from flush()
+        yield from flush()
 
     return run
 
@@ -256,16 +249,14 @@ def encode(docs: DataFrame, path: str, pattern: str, block_chars: int = BLOCK_CH
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     if not scan:
         docs = materialise(docs, "bpe-texts")
-    cut = docs.mapInArrow(_cut(pattern, block_chars), _SCHEMA)
     words = (
-        cut.where("word IS NOT NULL")
-        .select("block", "entry", "word")
+        docs.mapInArrow(_blocks(pattern, block_chars, False), "block long, entry int, word binary")
         .repartition("word")
         .sortWithinPartitions("word")
         .mapInArrow(_answer(path, pattern), "block long, entries binary, lengths binary, ids binary")
     )
     empty = F.lit(None).cast("binary")
-    sequences = cut.where("sequence IS NOT NULL").select(
+    sequences = docs.mapInArrow(_blocks(pattern, block_chars, True), "block long, doc_id long, sequence binary").select(
         "block", "doc_id", "sequence", empty.alias("entries"), empty.alias("lengths"), empty.alias("ids")
     )
     answers = words.select("block", F.lit(None).cast("long").alias("doc_id"), empty.alias("sequence"), "entries", "lengths", "ids")
