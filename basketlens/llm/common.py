@@ -164,6 +164,7 @@ def appended(docs: DataFrame, extra: str, make, limit: int = PIECE) -> DataFrame
     """``docs`` with all its columns and those of ``extra`` (a schema), which ``make()(slice)`` yields as a list of arrays.
 
     One pass, no exchange: what a filter needs besides the rows travels with them.
+    Columns of operators begin with ``__llm_``, which is reserved; any other name may occur in ``docs``.
     """
     schema = StructType([*docs.schema.fields, *StructType.fromDDL(extra).fields])
     names = schema.fieldNames()

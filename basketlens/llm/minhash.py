@@ -57,6 +57,7 @@ def signature(rows: np.ndarray, keys: np.ndarray, weights: np.ndarray, n: int, p
     time by which all places are filled (with high probability) can't win and are
     not generated; rows where a place stayed empty get twice the time.
     """
+    keys = mix(keys ^ np.uint64(0x5851F42D4C957F2D))  # keys in arithmetic progression would share draws
     out = np.zeros(n * places, np.uint64)
     total = np.bincount(rows, weights, n)
     wanted = total > 0
@@ -281,9 +282,9 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay: one of each class, all columns as they were."""
-    kept = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": text_key()})
+    kept = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("__llm_id"), F.col("key").alias("__llm_key")).distinct()
+    keyed = docs.withColumns({"__llm_id": F.col("doc_id").cast("long"), "__llm_key": text_key()})
     both = keyed.join(
-        kept.select(F.col("_id").alias("_i"), F.col("_key").alias("_k")), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k"))
+        kept.select(F.col("__llm_id").alias("__llm_i"), F.col("__llm_key").alias("__llm_k")), F.col("__llm_id").eqNullSafe(F.col("__llm_i")) & (F.col("__llm_key") == F.col("__llm_k"))
     )
-    return both.dropDuplicates(["_key"]).drop("_id", "_key", "_i", "_k")
+    return both.dropDuplicates(["__llm_key"]).drop("__llm_id", "__llm_key", "__llm_i", "__llm_k")

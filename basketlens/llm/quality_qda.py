@@ -54,7 +54,7 @@ def statistics(words: Words, powers: Powers, kinds: np.ndarray) -> np.ndarray:
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """``docs`` with _x, the statistics of each row."""
+    """``docs`` with __llm_x, the statistics of each row."""
 
     def make():
         powers, kinds = Powers(), textstats.class_table()
@@ -66,7 +66,7 @@ def measure(docs: DataFrame) -> DataFrame:
 
         return run
 
-    return appended(docs, "_x array<double>", make)
+    return appended(docs, "__llm_x array<double>", make)
 
 
 def moments(rows: DataFrame) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
@@ -76,7 +76,7 @@ def moments(rows: DataFrame) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             y = batch.column("y").to_numpy()
-            x = batch.column("_x").flatten().to_numpy().reshape(len(y), -1)
+            x = batch.column("__llm_x").flatten().to_numpy().reshape(len(y), -1)
             x = np.column_stack([np.ones(len(x)), x])
             for label in np.unique(y):
                 part = x[y == label]
@@ -88,7 +88,7 @@ def moments(rows: DataFrame) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
                 names=["y", "i", "v"],
             )
 
-    added = rows.select("y", "_x").mapInArrow(run, "y int, i int, v double").groupBy("y", "i").agg(F.sum("v").alias("v")).collect()
+    added = rows.select("y", "__llm_x").mapInArrow(run, "y int, i int, v double").groupBy("y", "i").agg(F.sum("v").alias("v")).collect()
     out = {}
     for label in {r.y for r in added}:
         own = {r.i: r.v for r in added if r.y == label}
@@ -145,7 +145,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     measured = materialise(measure(docs), "quality-statistics")
     teach = labelled(docs, labels, "quality")
-    small = measured.select(F.col("doc_id").cast("long").alias("doc_id"), "_x")
+    small = measured.select(F.col("doc_id").cast("long").alias("doc_id"), "__llm_x")
     known = small.join(teach, "doc_id")
     sums = moments(known.where(~calibrating()))
     model = Discriminant(sums) if len(sums) == 2 else None
@@ -156,35 +156,35 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.record_batch([batch.column("y"), pa.array(differences(batch.column("_x")))], names=["y", "m"])
+            yield pa.record_batch([batch.column("y"), pa.array(differences(batch.column("__llm_x")))], names=["y", "m"])
 
     bins = (
         known.where(calibrating() if model is not None else F.lit(True))
-        .select("y", "_x")
+        .select("y", "__llm_x")
         .mapInArrow(margins, "y int, m double")
         .groupBy(F.round(F.col("m") * 10).alias("m"), "y")  # differences are softened, so there are some thousand steps
         .count()
         .collect()
     )
     a, b = calibrate(bins, 10.0)
-    schema = StructType([*docs.schema.fields, StructField("_margin", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField("__llm_margin", DoubleType())])
     names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.record_batch([*batch.columns[:-1], pa.array(differences(batch.column("_x")))], names=names)
+            yield pa.record_batch([*batch.columns[:-1], pa.array(differences(batch.column("__llm_x")))], names=names)
 
-    return measured.mapInArrow(run, schema).withColumn("_score", sigmoid(F.lit(a) + F.lit(b) * F.col("_margin"))).drop("_margin")
+    return measured.mapInArrow(run, schema).withColumn("__llm_score", sigmoid(F.lit(a) + F.lit(b) * F.col("__llm_margin"))).drop("__llm_margin")
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``; see ``scored``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return scored(docs, labels).select(
-        "doc_id", held_out().alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted")
+        "doc_id", held_out().alias("held_out"), F.col("__llm_score").alias("score"), (F.col("__llm_score") >= threshold).cast("int").alias("predicted")
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold, as they are."""
-    return scored(docs, labels).where(F.col("_score") >= threshold).drop("_score")
+    return scored(docs, labels).where(F.col("__llm_score") >= threshold).drop("__llm_score")

@@ -130,7 +130,7 @@ def _find(window: int, levels: int):
                 yield pa.record_batch(
                     [
                         piece.column("doc_id").take(take),
-                        piece.column("_h").take(take),
+                        piece.column("__llm_h").take(take),
                         pa.array(np.concatenate([at - x.words.first[row[: len(at)]], np.full(len(free), -1)]).astype(np.int32)),
                         pa.array(np.concatenate([at - start, none]).astype(np.int32)),
                         pa.array(np.concatenate([n, none]).astype(np.int32)),
@@ -164,7 +164,7 @@ def _spell(window: int, levels: int):
                 yield pa.record_batch(
                     [
                         piece.column("doc_id").take(take),
-                        piece.column("_h").take(take),
+                        piece.column("__llm_h").take(take),
                         pa.array((chosen - x.words.first[row]).astype(np.int32)),
                         pa.array(one.view(np.int64)),
                         pa.array(two.view(np.int64)),
@@ -177,7 +177,7 @@ def _spell(window: int, levels: int):
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS) -> DataFrame:
-    """``docs`` (doc_id, text and others) with _starts: (start, n) of neighbouring windows that occur more than once; null if none.
+    """``docs`` (doc_id, text and others) with __llm_starts: (start, n) of neighbouring windows that occur more than once; null if none.
 
     Every row counts, so the windows of equal rows are repeats of each other.
     Texts of under ``window`` words, empty and null ones have no window.
@@ -187,9 +187,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS) -> Data
     spark = docs.sparkSession
     # Rows are known by their id and a hash of their text; rows that share both are equal, and so are their results.
     whole = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}).withColumn(
-        "_h", F.xxhash64("text")
+        "__llm_h", F.xxhash64("text")
     )
-    found = whole.select("doc_id", "text", "_h").mapInArrow(
+    found = whole.select("doc_id", "text", "__llm_h").mapInArrow(
         _find(window, levels), "doc_id long, h long, at int, back int, n int, name long, near long"
     )
     many = found.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name")
@@ -210,12 +210,12 @@ def repeats(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS) -> Data
         asked.unionByName(free)
         .groupBy("doc_id", "h")
         .agg(F.collect_list(F.struct("at", "weight")).alias("places"))
-        .select(F.col("doc_id").alias("_i"), F.col("h").alias("_g"), "places")
+        .select(F.col("doc_id").alias("__llm_i"), F.col("h").alias("__llm_g"), "places")
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_g"))
+    same = F.col("doc_id").eqNullSafe(F.col("__llm_i")) & (F.col("__llm_h") == F.col("__llm_g"))
     spelt = (
         whole.join(places, same)
-        .select("doc_id", "_h", "text", "places")
+        .select("doc_id", "__llm_h", "text", "places")
         .mapInArrow(_spell(window, levels), "doc_id long, h long, start int, one long, two long, weight int")
     )
     twice = spelt.groupBy("one", "two").agg(F.sum("weight").alias("k")).where("k > 1").select("one", "two")
@@ -225,10 +225,10 @@ def repeats(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS) -> Data
         .select("doc_id", "h", "start", F.lit(1).alias("n"))
         .unionByName(shared.join(several, ["name", "near"], "left_semi").select("doc_id", "h", (F.col("at") - F.col("back")).alias("start"), "n"))
         .groupBy("doc_id", "h")
-        .agg(F.collect_set(F.struct("start", "n")).alias("_starts"))
-        .select(F.col("doc_id").alias("_i"), F.col("h").alias("_g"), "_starts")
+        .agg(F.collect_set(F.struct("start", "n")).alias("__llm_starts"))
+        .select(F.col("doc_id").alias("__llm_i"), F.col("h").alias("__llm_g"), "__llm_starts")
     )
-    return whole.join(starts, same, "left").drop("_h", "_i", "_g")
+    return whole.join(starts, same, "left").drop("__llm_h", "__llm_i", "__llm_g")
 
 
 def _cut(window: int):
@@ -255,7 +255,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text", 1 << 23):
-                n, gone, kept = zip(*map(cut, piece.column("text"), piece.column("_starts")))
+                n, gone, kept = zip(*map(cut, piece.column("text"), piece.column("__llm_starts")))
                 yield pa.record_batch(
                     [piece.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
                     names=["doc_id", "n_words", "n_removed", "kept"],
@@ -280,7 +280,7 @@ def clean(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text", 1 << 23):
-                texts, starts = piece.column("text"), piece.column("_starts")
+                texts, starts = piece.column("text"), piece.column("__llm_starts")
                 new = [cut(t, s)[2].decode() if s.is_valid else t.as_py() for t, s in zip(texts, starts)]
                 columns = dict(zip(piece.schema.names[:-1], piece.columns[:-1]))
                 columns["text"] = pa.array(new, texts.type)

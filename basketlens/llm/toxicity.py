@@ -235,7 +235,7 @@ def gains(raw: bytes, ordinary, toxic) -> list[int]:
 
 
 def measure(docs: DataFrame, dictionaries: tuple[bytes, bytes] | None) -> DataFrame:
-    """``docs`` with _first, _second, _n: the largest gain, the largest of windows that don't overlap it, and the number of windows."""
+    """``docs`` with __llm_first, __llm_second, __llm_n: the largest gain, the largest of windows that don't overlap it, and the number of windows."""
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
     def make():
@@ -263,7 +263,7 @@ def measure(docs: DataFrame, dictionaries: tuple[bytes, bytes] | None) -> DataFr
 
         return run
 
-    return appended(docs, "_first int, _second int, _n long", make)
+    return appended(docs, "__llm_first int, __llm_second int, __llm_n long", make)
 
 
 def scored(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -276,7 +276,7 @@ def scored(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Data
     dictionaries = train(docs, labels, fit_rows)
     measured = materialise(measure(docs, dictionaries), "toxicity-gains")
     clip = lambda c: F.greatest(F.lit(-4), F.least(F.lit(16), F.col(c)))
-    shape = {"first": clip("_first"), "second": clip("_second"), "size": F.round(F.log2(F.col("_n") + 1))}
+    shape = {"first": clip("__llm_first"), "second": clip("__llm_second"), "size": F.round(F.log2(F.col("__llm_n") + 1))}
     teach = labelled(docs, labels, "toxic").where(calibrating())
     # 21 * 21 gains and some forty sizes at most.
     cells = (
@@ -298,17 +298,17 @@ def scored(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Data
     margin = F.lit(float(beta[0]))
     for c, b in zip(shape.values(), beta[1:]):
         margin = margin + F.lit(float(b)) * c
-    return measured.withColumn("_score", sigmoid(margin)).drop("_first", "_second", "_n")
+    return measured.withColumn("__llm_score", sigmoid(margin)).drop("__llm_first", "__llm_second", "__llm_n")
 
 
 def score(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``; see ``scored``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return scored(docs, labels, fit_rows).select(
-        "doc_id", held_out().alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted")
+        "doc_id", held_out().alias("held_out"), F.col("__llm_score").alias("score"), (F.col("__llm_score") >= threshold).cast("int").alias("predicted")
     )
 
 
 def keep_ordinary(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose score stays under the threshold, as they are."""
-    return scored(docs, labels, fit_rows).where(F.col("_score") < threshold).drop("_score")
+    return scored(docs, labels, fit_rows).where(F.col("__llm_score") < threshold).drop("__llm_score")

@@ -1,0 +1,93 @@
+"""Classifiers: exact counts, held-out accuracy, defined results for odd input."""
+
+import collections
+import re
+import zlib
+
+import numpy as np
+import pytest
+from llm_helpers import ordered
+
+from basketlens.llm import quality_qda, quality_rules, toxicity
+
+TRAIN = "/root/testdata/sf0.01"
+
+
+def auc(rows, truth):
+    good, bad = ([r.score for r in rows if truth[r.doc_id] == k] for k in (1, 0))
+    good, bad = np.array(good)[:, None], np.array(bad)[None]
+    return (good > bad).mean() + 0.5 * (good == bad).mean()
+
+
+def judged(spark, frame, column):
+    truth = {r.doc_id: r[column] for r in spark.read.parquet(f"{TRAIN}/labels.parquet").collect()}
+    rows = [r for r in frame.collect() if r.doc_id in truth and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    return rows, truth
+
+
+def inputs(spark):
+    return spark.read.parquet(f"{TRAIN}/documents.parquet"), spark.read.parquet(f"{TRAIN}/labels.parquet")
+
+
+def test_qda_held_out(spark):
+    rows, truth = judged(spark, quality_qda.score(*inputs(spark)), "quality")
+    assert auc(rows, truth) > 0.98 and all(r.held_out for r in rows)
+    assert np.mean([r.predicted == truth[r.doc_id] for r in rows]) > 0.95
+
+
+def test_rules_held_out(spark):
+    rows, truth = judged(spark, quality_rules.rules(*inputs(spark)), "quality")
+    assert auc(rows, truth) > 0.95
+
+
+def test_toxicity_held_out(spark):
+    rows, truth = judged(spark, toxicity.score(*inputs(spark)), "toxic")
+    assert auc(rows, truth) > 0.75
+    assert sum(r.predicted for r in rows if not truth[r.doc_id]) <= 2
+
+
+def test_toxic_passages_are_mined():
+    texts = [f" ab{k} lovely grumpf weather{k} ".encode() for k in range(30)]
+    keys = {k: 0 for t in texts for k in toxicity._keys(t)}
+    assert toxicity.passages(texts, keys, 300)[0].strip().startswith((b"lovely", b"grumpf"))
+
+
+def counts(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen = collections.Counter(zip(words, words[1:], words[2:]))
+    marked = {j for i in range(len(words) - 2) if seen[tuple(words[i : i + 3])] > 1 for j in range(i, i + 3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n = len(words)
+    failed = n < 50 or 100 * len(marked) > 50 * n
+    return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(marked), failed
+
+
+@pytest.mark.parametrize("name", ["docs", "odd", "none"])
+def test_rule_counts(request, labels, name):
+    frame = request.getfixturevalue(name)
+    got = quality_rules.rules(frame, labels).collect()
+    want = [(r.doc_id, *counts(r.text)) for r in frame.select("doc_id", "text").collect()]
+    assert ordered(r[:7] for r in got) == ordered(want)
+    assert not any(r.kept and r.base_failed for r in got)
+
+
+@pytest.mark.parametrize("score", [quality_qda.score, toxicity.score])
+def test_scores_of_odd_rows(odd, none, labels, score):
+    for frame, known in ((odd, labels), (odd, labels.where("false")), (odd, labels.where("quality = 1 AND toxic = 0")), (none, labels)):
+        rows = score(frame, known).collect()
+        assert len(rows) == frame.count()
+        assert all(0 <= r.score <= 1 and r.predicted in (0, 1) and r.held_out in (True, False) for r in rows)
+
+
+def test_filters_keep_columns(odd, labels):
+    for keep in (quality_qda.keep_good, toxicity.keep_ordinary):
+        assert keep(odd, labels).columns == odd.columns
+
+
+def test_components_of_a_path_and_a_star(spark):
+    from basketlens.llm.common import components
+
+    edges = [(i, i + 1) for i in range(1, 60)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 1 for i in range(1, 61)}, **{i: 100 for i in range(100, 160)}, 200: 200, 201: 200}
