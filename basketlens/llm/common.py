@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from basketlens.session import materialise
 
 #: Bytes of text that are hashed at once.
-PIECE = 1 << 21
+PIECE = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
 _WIDE = 0xC2B2AE3D27D4EB4F
@@ -104,6 +104,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = PIECE) -> Iterator[p
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()
 
 
 class Words:

@@ -7,8 +7,9 @@ and generation ends once no later arrival can win. Equal places estimate the
 probability Jaccard similarity. Bands of places give buckets; in a bucket,
 members are compared with one pivot, not with each other. Verified links are
 joined to components, and buckets that still hold several components are
-compared again, with other pivots and at last across components, so that a
-component is whole although no group is expanded into all its pairs.
+compared again, with other pivots, and at last tile by tile by the signatures
+of different components. So a component is whole, although no group is
+expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ WIDTH, SIMILARITY = 5, 0.8
 BANDS, PLACES = 25, 4
 #: Estimates under the similarity less this are not verified: five standard deviations of the estimate.
 MARGIN = 0.2
-#: Rounds with a pivot of each bucket before pairs across components.
-PIVOT_ROUNDS = 3
+#: Rounds with a pivot of each bucket before pairs across components; members of a tile then.
+PIVOT_ROUNDS, TILE = 3, 512
 
 
 def shingles(words: Words, powers: Powers, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,11 +120,52 @@ def _bands(bands: int, places: int):
             value = np.repeat(np.arange(bands, dtype=np.uint64)[None], len(c), 0) + np.uint64(1)
             for k in range(places):
                 value = mix(value * np.uint64(0x9E3779B97F4A7C15) + signs[:, :, k].astype(np.uint64))
-            yield pa.record_batch([pa.array(np.repeat(c, bands)), pa.array(value.ravel().view(np.int64))], names=["c", "bucket"])
+            yield pa.record_batch(
+                [
+                    pa.array(np.repeat(c, bands)),
+                    pa.array(value.ravel().view(np.int64)),
+                    pa.array(np.tile(np.arange(bands, dtype=np.int32), len(c))),
+                ],
+                names=["c", "bucket", "band"],
+            )
+
+    return run
+
+
+def _across(bands: int, places: int, least: float):
+    """Two tiles of a bucket -> pairs of different components whose signatures are near, each in the first band they share."""
+
+    def run(group: pa.Table) -> pa.Table:
+        side, c = group["side"].to_numpy(), group["c"].to_numpy()
+        home, band = group["component"].to_numpy(), int(group["band"][0].as_py())
+        signs = np.frombuffer(b"".join(group["sign"].to_pylist()), np.uint32).reshape(len(c), bands, places)
+        one = np.flatnonzero(side == 0)
+        two = np.flatnonzero(side == 1) if (side == 1).any() else one
+        a, b = [], []
+        for i in one.tolist():
+            other = two[home[two] > home[i]] if two is one else two[home[two] != home[i]]
+            if len(other):
+                same = signs[other] == signs[i]
+                near = other[(same.mean((1, 2)) >= least) & ~same[:, :band].all(2).any(1)]
+                a.append(np.full(len(near), c[i]))
+                b.append(c[near])
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        return pa.table({"c": pa.array(a, pa.int64()), "pivot": pa.array(b, pa.int64())})
 
     return run
 
 
+def _pairs_across(grouped: DataFrame, classes: DataFrame, bands: int, places: int, similarity: float) -> DataFrame:
+    """(c, pivot) of buckets with several components, tile by tile; only near signatures of different components leave a task."""
+    size = grouped.groupBy("bucket").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    dealt = grouped.join(size, "bucket").withColumn("t", F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int"))
+    tiles = dealt.select("*", F.explode(F.expr("sequence(0, tiles - 1)")).alias("u")).select(
+        "bucket", "band", F.least("t", "u").alias("i"), F.greatest("t", "u").alias("j"), (F.col("t") > F.col("u")).cast("int").alias("side"), "c", "component"
+    )
+    signed = tiles.join(classes.select("c", "sign"), "c")
+    return signed.groupBy("bucket", "i", "j").applyInArrow(_across(bands, places, similarity - MARGIN), "c long, pivot long")
+
+
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Exact probability Jaccard of two (sorted keys, counts)."""
     common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -216,7 +258,7 @@ def near_duplicates(
         .withColumn("c", F.monotonically_increasing_id()),
         "minhash-classes",
     )
-    every = classes.where("n_shingles > 0").select("c", "sign").mapInArrow(_bands(bands, places), "c long, bucket long")
+    every = classes.where("n_shingles > 0").select("c", "sign").mapInArrow(_bands(bands, places), "c long, bucket long, band int")
     shared = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = materialise(every.join(shared, "bucket"), "minhash-members")
     wanted = members.select("c").distinct().join(classes.select("c", "key"), "c")
@@ -256,8 +298,7 @@ def near_duplicates(
             )
             pairs = grouped.join(pivots, "bucket").where("component <> home").select("c", "pivot")
         else:
-            other = grouped.select("bucket", F.col("c").alias("pivot"), F.col("component").alias("home"))
-            pairs = grouped.join(other, "bucket").where("component < home").select("c", "pivot")
+            pairs = _pairs_across(grouped, classes, bands, places, similarity)
         pairs = pairs.select(F.least("c", "pivot").alias("a"), F.greatest("c", "pivot").alias("b")).distinct()
         found = materialise(_verify(pairs, classes, texts, width, similarity, n_places), "minhash-links")
         links = found if links is None else links.unionByName(found)

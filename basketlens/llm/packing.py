@@ -39,7 +39,7 @@ class Chunks(dict):
     parts; plain words are remembered apart from their case and end mark.
     """
 
-    LIMIT = 300_000
+    LIMIT = 150_000
     ENDS = ".,!?;:"
 
     def __init__(self, path: str):
