@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,40 +104,41 @@ def latest_per_key(updates: DataFrame, keys: list[str], precombine: list[str]) -
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str], precombine: list[str]) -> DataFrame:
     """Keyed upsert: per key the row with the greater precombine stays, new keys come in.
 
-    On equal precombine values the update wins. ``base`` holds one row per key.
+    On equal precombine values the update wins. ``base`` holds one row per key;
+    a null key is a key of its own.
     """
     fresh = latest_per_key(updates, keys, precombine).withColumn("_new", F.lit(True)).alias("u")
     stored = base.withColumn("_old", F.lit(True)).alias("b")
-    joined = stored.join(fresh, keys, "full_outer")
+    joined = stored.join(fresh, _same_key(keys, "b", "u"), "full_outer")
     order = [F.struct(*[F.col(f"{side}.{c}") for c in precombine]) for side in ("u", "b")]
     newer = F.col("_new").isNotNull() & (F.col("_old").isNull() | (order[0] >= order[1]))
-    return joined.select(*[_pick(c, keys, newer) for c in base.columns])
+    return joined.select(*[F.when(newer, F.col(f"u.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in base.columns])
 
 
-def _pick(column: str, keys: list[str], newer: Column) -> Column:
-    if column in keys:
-        return F.col(column)
-    return F.when(newer, F.col(f"u.{column}")).otherwise(F.col(f"b.{column}")).alias(column)
+def _same_key(keys: list[str], left: str, right: str) -> Column:
+    """Equal keys; null equals null, so that a null key is one row like any other."""
+    return reduce(and_, (F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys))
 
 
 def merge_into(target: DataFrame, source: DataFrame, on: list[str], precombine: list[str]) -> DataFrame:
     """Matched rows take the source's values, unmatched source rows are added.
 
     The source is first reduced to one row per key, as a target row must not
-    match twice. The target may repeat keys: it is the preserved side of a
+    match twice. Null keys match each other. The target may repeat keys: it is the preserved side of a
     left join, which AQE can split when one key dominates.
     """
     fresh = latest_per_key(source, on, precombine)
     marked = fresh.withColumn("_hit", F.lit(True)).alias("s")
-    joined = target.alias("t").join(marked, on, "left")
+    joined = target.alias("t").join(marked, _same_key(on, "t", "s"), "left")
     hit = F.col("_hit").isNotNull()
     updated = joined.select(
         *[
-            F.col(c) if c in on else F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+            F.col(f"t.{c}") if c in on else F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
             for c in target.columns
         ]
     )
-    added = fresh.join(target.select(*on).distinct(), on, "left_anti").select(target.columns)
+    present = target.select(*on).distinct().alias("p")
+    added = fresh.alias("s").join(present, _same_key(on, "s", "p"), "left_anti").select(target.columns)
     return updated.unionByName(added)
 
 

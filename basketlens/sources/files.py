@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,40 +13,66 @@ from basketlens.schemas import LIVE, ctr_schema, event_schema
 CORRUPT = "_corrupt_record"
 
 
+def _layouts(spark: SparkSession, path: str | list[str]) -> dict[bool, list[str]]:
+    """Export files by whether their header has the session key; reads one line a file."""
+    found: dict[bool, list[str]] = {}
+    for row in spark.read.format("binaryFile").load(path).select("path").collect():
+        header = spark.read.option("header", True).csv(row.path).columns
+        found.setdefault("user_session" in header, []).append(row.path)
+    return found
+
+
+def _session(frame: DataFrame, wanted: bool) -> DataFrame:
+    if wanted and "user_session" not in frame.columns:
+        return frame.withColumn("user_session", F.lit(None).cast("string"))
+    return frame if wanted else frame.drop("user_session")
+
+
 def read_events_csv(
     spark: SparkSession,
     path: str | list[str],
     malformed: str = "keep",
     with_session: bool = False,
 ) -> DataFrame:
-    """Raw shop events from headed CSV files.
+    """Raw shop events from headed CSV files with or without the session key, also mixed.
 
     ``malformed="keep"`` turns unreadable fields into nulls, ``"drop"``
-    leaves such rows out, ``"fail"`` stops the job.
+    leaves such rows out, ``"fail"`` stops the job. Each file is read in the layout
+    of its own header, and a header in another order is refused. ``with_session``
+    says whether the result has the key (null where a file has none).
     """
     modes = {"keep": "PERMISSIVE", "drop": "DROPMALFORMED", "fail": "FAILFAST"}
-    return (
-        spark.read.schema(event_schema(with_session))
-        .option("header", True)
-        .option("mode", modes[malformed])
-        .csv(path)
-    )
-
-
-def read_event_rejects(spark: SparkSession, path: str | list[str], with_session: bool = False) -> DataFrame:
+    frames = [
+        _session(
+            spark.read.schema(event_schema(layout))
+            .option("header", True)
+            .option("enforceSchema", False)
+            .option("mode", modes[malformed])
+            .csv(files),
+            with_session,
+        )
+        for layout, files in sorted(_layouts(spark, path).items())
+    ]
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], event_schema(with_session))
+
+
+def read_event_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The lines that ``malformed="drop"`` leaves out, with their file."""
-    fields = event_schema(with_session).fields
-    schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
-    # All fields stay in the plan: a scan of the corrupt column alone is refused.
-    line = F.when(F.greatest(*[F.col(f.name).isNotNull().cast("int") for f in fields]) >= 0, F.col(CORRUPT))
-    return rows.select(line.alias("line"), F.col("_metadata.file_path").alias("file")).filter("line is not null")
+    found = spark.createDataFrame([], "line string, file string")
+    for layout, files in sorted(_layouts(spark, path).items()):
+        fields = event_schema(layout).fields
+        schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+        rows = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .csv(files)
+        )
+        # All fields stay in the plan: a scan of the corrupt column alone is refused.
+        line = F.when(F.greatest(*[F.col(f.name).isNotNull().cast("int") for f in fields]) >= 0, F.col(CORRUPT))
+        found = found.unionByName(rows.select(line.alias("line"), F.col("_metadata.file_path").alias("file")).filter("line is not null"))
+    return found
 
 
 def read_monthly_csv(spark: SparkSession, root: str, names: list[str], **options) -> DataFrame:

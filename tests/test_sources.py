@@ -130,3 +130,20 @@ def test_generator_is_a_function_of_the_row(spark):
 
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+NINE = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session"
+
+
+@pytest.mark.parametrize("malformed", ["keep", "drop", "fail"])
+def test_csv_with_and_without_session(spark, tmp_path, malformed):
+    line = "2024-01-01 10:00:00 UTC,view,1,2,a.b,x,1.5,7"
+    (tmp_path / "nine.csv").write_text("\n".join([NINE, *[f"{line},s{i}" for i in range(5)]]))
+    (tmp_path / "eight.csv").write_text("\n".join([NINE.rsplit(",", 1)[0], line, line]))
+    for name, rows in (("nine.csv", 5), ("eight.csv", 2), ("", 7)):
+        path = str(tmp_path / name)
+        plain = files.read_events_csv(spark, path, malformed=malformed)
+        assert plain.count() == rows and "user_session" not in plain.columns
+        keyed = files.read_events_csv(spark, path, malformed=malformed, with_session=True)
+        assert sorted(r.user_session or "" for r in keyed.collect()) == sorted(([f"s{i}" for i in range(5)] if "eight" not in name else []) + ([""] * 2 if "nine" not in name else []))
+        assert files.read_event_rejects(spark, path).count() == 0

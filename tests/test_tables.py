@@ -120,3 +120,13 @@ def test_empty_table(spark, sf, tmp_path):
     schema = testbed.shop_events(spark, sf).schema
     tables.create_empty(spark, schema, f"{tmp_path}/e")
     assert spark.read.schema(schema).parquet(f"{tmp_path}/e").count() == 0
+
+
+def test_null_keys_match_each_other(spark):
+    base = spark.createDataFrame([(None, 1, 10), ("a", 1, 20)], "brand string, at int, n int")
+    news = spark.createDataFrame([(None, 2, 11), ("b", 1, 30), (None, 1, 9)], "brand string, at int, n int")
+    for combine in (tables.upsert, tables.merge_into):
+        once = combine(base, news, ["brand"], ["at"])
+        twice = combine(once, news, ["brand"], ["at"])
+        for frame in (once, twice):
+            assert sorted(map(tuple, frame.collect()), key=str) == [("a", 1, 20), ("b", 1, 30), (None, 2, 11)]
