@@ -1,14 +1,15 @@
-"""Event-time window aggregates, written once for batch and stream.
+"""Event-time window aggregates.
 
-Exact distinct counts come from two aggregations: first per (group, value),
-then per group. Streams accept that where they refuse ``count_distinct``, the
-state is bounded by the watermark, and a product seen by very many users is
-spread over those users.
+Events are first added up by pane (the slide of the windows) and by the user
+or product that is counted distinctly; panes are then laid into their windows.
+The rows of the first step are additive: streams store them batch by batch and
+add them up on reading. A product seen by very many users is spread over those
+users, and an event is not copied into each of its windows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketlens.constants import CART, PURCHASE, VIEW
@@ -16,7 +17,6 @@ from basketlens.functions.measures import (
     engagement,
     is_kind,
     kind_count,
-    kind_counts,
     money,
     money_mean,
     units_sum,
@@ -26,57 +26,83 @@ from basketlens.operators.metrics import rows
 TREND_KEYS = ["product_id", "main_category", "brand"]
 
 
-def with_watermark(events: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Event time as an instant with a lateness bound."""
-    return events.withColumn("event_time", F.col("event_time").cast("timestamp")).withWatermark("event_time", delay)
+KIND_SUMS = [f"_{kind}" for kind in (VIEW, CART, PURCHASE)]
 
 
-def trending_windows(
-    events: DataFrame, window: str = "1 hour", slide: str | None = "15 minutes", distinct: str = "exact"
+def _panes(events: DataFrame, pane: str) -> DataFrame:
+    return events.withColumn("pane", F.window("event_time", pane)["start"])
+
+
+def _whole_panes(spark: SparkSession, window: str, slide: str) -> None:
+    """Windows must consist of whole panes."""
+    micros = [f"unix_micros(timestamp_seconds(0) + interval {span})" for span in (window, slide)]
+    if spark.range(1).select(F.expr(f"{micros[0]} % {micros[1]} <> 0")).first()[0]:
+        raise ValueError(f"a window of {window} is no multiple of its slide {slide}")
+
+
+def trending_parts(events: DataFrame, pane: str = "15 minutes", distinct: str = "exact") -> DataFrame:
+    """Additive product activity per pane: a row per user, or (approximate) a sketch of the users."""
+    keys, users = ["pane", *TREND_KEYS], []
+    if distinct == "approx":
+        users = [F.hll_sketch_agg("user_id").alias("_users")]
+    else:
+        keys.append("user_id")
+    return _panes(events, pane).groupBy(*keys).agg(
+        rows().alias("_n"),
+        *[kind_count(kind).alias(name) for kind, name in zip((VIEW, CART, PURCHASE), KIND_SUMS)],
+        units_sum("price").alias("_units"),
+        F.count("price").alias("_priced"),
+        *users,
+    )
+
+
+def trending_from_parts(
+    parts: DataFrame, window: str = "1 hour", slide: str | None = "15 minutes", distinct: str = "exact"
 ) -> DataFrame:
-    """Product activity per sliding window with its trend score."""
-    span = F.window("event_time", window, slide) if slide else F.window("event_time", window)
+    """Product activity per window of ``trending_parts`` rows, whatever batches they come from."""
+    if slide:
+        _whole_panes(parts.sparkSession, window, slide)
+    span = F.window("pane", window, slide) if slide else F.window("pane", window)
+    sums = [F.sum(name).alias(name) for name in ("_n", *KIND_SUMS, "_units", "_priced")]
     if distinct == "approx":
-        totals = events.groupBy(span, *TREND_KEYS).agg(
-            rows().alias("event_count"),
-            *kind_counts("views", "carts", "purchases"),
-            F.approx_count_distinct("user_id").alias("unique_users"),
-            units_sum("price").alias("_u"),
-            F.count("price").alias("_p"),
-        )
+        users, totals = F.hll_sketch_estimate(F.hll_union_agg("_users")), parts.groupBy(span, *TREND_KEYS)
     else:
-        per_user = events.groupBy(span, *TREND_KEYS, "user_id").agg(
-            rows().alias("_n"),
-            *[kind_count(kind).alias(f"_{kind}") for kind in (VIEW, CART, PURCHASE)],
-            units_sum("price").alias("_units"),
-            F.count("price").alias("_priced"),
-        )
-        totals = per_user.groupBy("window", *TREND_KEYS).agg(
-            F.sum("_n").alias("event_count"),
-            F.sum(f"_{VIEW}").alias("views"),
-            F.sum(f"_{CART}").alias("carts"),
-            F.sum(f"_{PURCHASE}").alias("purchases"),
-            rows().alias("unique_users"),
-            F.sum("_units").alias("_u"),
-            F.sum("_priced").alias("_p"),
-        )
-    return totals.select(
+        users = rows()
+        totals = parts.groupBy(span, *TREND_KEYS, "user_id").agg(*sums).groupBy("window", *TREND_KEYS)
+    view, cart, purchase = KIND_SUMS
+    return totals.agg(*sums, users.alias("unique_users")).select(
         "window",
         *TREND_KEYS,
-        "event_count",
-        "views",
-        "carts",
-        "purchases",
+        F.col("_n").alias("event_count"),
+        F.col(view).alias("views"),
+        F.col(cart).alias("carts"),
+        F.col(purchase).alias("purchases"),
         "unique_users",
-        money_mean("_u", "_p").alias("avg_price"),
-        engagement("views", "carts", "purchases").alias("trend_score"),
+        money_mean("_units", "_priced").alias("avg_price"),
+        engagement(view, cart, purchase).alias("trend_score"),
     )
 
 
-def category_windows(events: DataFrame, window: str = "30 minutes") -> DataFrame:
-    """Category activity per tumbling window, users and products counted exactly.
+def trending_windows(
+    events: DataFrame, window: str = "1 hour", slide: str | None = "15 minutes", distinct: str = "exact"
+) -> DataFrame:
+    """Product activity per sliding window with its trend score."""
+    return trending_from_parts(trending_parts(events, slide or window, distinct), window, slide, distinct)
+
 
-    Each event is read once as a user and once as a product, so both distinct
+def category_parts(events: DataFrame, window: str = "30 minutes") -> DataFrame:
+    """Additive category activity per window and (user, product)."""
+    return _panes(events, window).groupBy("pane", "main_category", "user_id", "product_id").agg(
+        rows().alias("_n"),
+        units_sum("price", is_kind(PURCHASE)).alias("_revenue"),
+        kind_count(PURCHASE).alias("_purchases"),
+    )
+
+
+def category_from_parts(parts: DataFrame, window: str = "30 minutes") -> DataFrame:
+    """Category activity per window of ``category_parts`` rows, users and products counted exactly.
+
+    Each row is read once as a user and once as a product, so both distinct
     counts share the two aggregations.
     """
     seen_as = F.explode(
@@ -85,14 +111,11 @@ def category_windows(events: DataFrame, window: str = "30 minutes") -> DataFrame
             F.struct(F.lit("product").alias("role"), F.col("product_id").alias("id")),
         )
     )
-    tagged = events.select("event_time", "main_category", "event_type", "price", seen_as.alias("seen"))
+    sums = ["_n", "_revenue", "_purchases"]
+    tagged = parts.select("pane", "main_category", *sums, seen_as.alias("seen"))
     per_id = tagged.groupBy(
-        F.window("event_time", window), "main_category", F.col("seen.role").alias("role"), F.col("seen.id").alias("id")
-    ).agg(
-        rows().alias("_n"),
-        units_sum("price", is_kind(PURCHASE)).alias("_revenue"),
-        kind_count(PURCHASE).alias("_purchases"),
-    )
+        F.window("pane", window), "main_category", F.col("seen.role").alias("role"), F.col("seen.id").alias("id")
+    ).agg(*[F.sum(name).alias(name) for name in sums])
     as_user = F.col("role") == "user"
     totals = per_id.groupBy("window", "main_category").agg(
         F.sum(F.when(as_user, F.col("_n"))).alias("total_events"),
@@ -112,6 +135,24 @@ def category_windows(events: DataFrame, window: str = "30 minutes") -> DataFrame
     )
 
 
+def category_windows(events: DataFrame, window: str = "30 minutes") -> DataFrame:
+    """Category activity per tumbling window, users and products counted exactly."""
+    return category_from_parts(category_parts(events, window), window)
+
+
+def late_rows(parts: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """(batch_id, late): rows of each batch whose pane began over ``delay`` before the newest pane of earlier batches.
+
+    They are part of the windows all the same; one row a batch meets in the running maximum.
+    """
+    newest = parts.groupBy("batch_id").agg(F.max("pane").alias("newest"))
+    earlier = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1)
+    bound = newest.select("batch_id", (F.max("newest").over(earlier) - F.expr(f"interval {delay}")).alias("bound"))
+    return parts.join(bound, "batch_id").groupBy("batch_id").agg(
+        F.coalesce(F.sum(F.when(F.col("pane") < F.col("bound"), F.col("_n"))), F.lit(0)).alias("late")
+    )
+
+
 def flat_window(frame: DataFrame) -> DataFrame:
     """Window bounds as plain zone-less columns."""
     rest = [c for c in frame.columns if c != "window"]

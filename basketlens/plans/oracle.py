@@ -420,8 +420,6 @@ CATS = f"""cw AS (SELECT time_bucket(INTERVAL 30 MINUTE, event_time) AS window_s
   {ct('purchase')} AS purchases FROM ev GROUP BY 1, 2)"""
 _CATS_OUT = """SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, main_category, total_events, active_users,
   products_interacted, revenue, purchases FROM cw"""
-# Append mode emits the windows that end no later than the watermark.
-_CLOSED = " WHERE window_end <= (SELECT max(event_time) - INTERVAL 3 DAY FROM ev)"
 _O["trending_windows"] = with_ev(TREND, _TREND_OUT)
 _O["category_windows"] = with_ev(CATS, _CATS_OUT)
 _O["trending_by_category"] = with_ev(TREND, """SELECT main_category, sum(trend_score) AS total_trend_score,
@@ -432,8 +430,10 @@ _TOP_TREND = """SELECT product_id, brand, main_category, views, carts, purchases
 _O["trending_top"] = with_ev(TREND, _TOP_TREND.format(where="", n=20))
 _O["trending_lookup"] = with_ev(TREND, _TOP_TREND.format(where="WHERE main_category = 'economy'", n=10))
 _O["stream_events"] = _O["bronze_clean"]
-_O["stream_trending"] = with_ev(TREND, f"SELECT * FROM ({_TREND_OUT}) {_CLOSED}")
-_O["stream_categories"] = with_ev(CATS, f"SELECT * FROM ({_CATS_OUT}) {_CLOSED}")
+_O["stream_trending"] = _O["trending_windows"]
+_O["stream_categories"] = _O["category_windows"]
+_O["stream_top"] = _O["trending_top"]
+_O["stream_by_category"] = _O["trending_by_category"]
 _O["stream_profiles"] = _O["user_profile_basic"]
 LIVE = f"""{RAW}, lv AS (SELECT 'e' || event_id AS event_id, CASE WHEN k % 17 <> 0 THEN event_time END AS event_time, event_type,
   CAST(product_id AS VARCHAR) AS product_id, category_code, brand, CASE WHEN k % 13 = 0 THEN 0.0::DOUBLE ELSE price END AS price,

@@ -27,7 +27,6 @@ ASOF = dt.datetime(2024, 2, 1)
 # Slices a stream run replays the history in, and the lateness that covers one
 # slice of the 30 days.
 REPLAY_SLICES = 10
-REPLAY_WATERMARK = "3 days"
 
 # Pause that gives the test events item sequences long enough to learn from.
 LONG_GAP = 360
@@ -350,19 +349,28 @@ def stream_event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_trending")
 def stream_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, events = _replay(spark, sf_dir)
-    out, cores = scratch_path(spark, "speed"), spark.sparkContext.defaultParallelism
-    return windows.flat_window(
-        runs.run_trending_stream(spark, source, events.schema, out, REPLAY_WATERMARK, partitions=cores)
-    )
+    return windows.flat_window(runs.run_trending_stream(spark, source, events.schema, scratch_path(spark, "speed")))
 
 
 @query("stream_categories")
 def stream_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, events = _replay(spark, sf_dir)
-    out, cores = scratch_path(spark, "speed"), spark.sparkContext.defaultParallelism
-    return windows.flat_window(
-        runs.run_category_stream(spark, source, events.schema, out, REPLAY_WATERMARK, partitions=cores)
-    )
+    return windows.flat_window(runs.run_category_stream(spark, source, events.schema, scratch_path(spark, "speed")))
+
+
+@query("stream_top")
+def stream_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top products of the trending stream's own output."""
+    source, events = _replay(spark, sf_dir)
+    return metrics.top_trending(runs.run_trending_stream(spark, source, events.schema, scratch_path(spark, "speed")))
+
+
+@query("stream_by_category")
+def stream_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category roll-up of what the speed layer's three streams left."""
+    source, events = _replay(spark, sf_dir)
+    layer = runs.run_speed_layer(spark, source, events.schema, scratch_path(spark, "speed"))
+    return metrics.trending_by_category(layer["trending"])
 
 
 @query("stream_profiles")

@@ -13,7 +13,6 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from basketlens.constants import VIEW
 from basketlens.models import click, item2vec, recommend, segments, store
@@ -112,11 +111,9 @@ def speed(spark: SparkSession, layout: Layout, slices: int = 100, max_files: int
     metrics.hourly_volume(events).write.mode("overwrite").parquet(layout.path("speed", "hourly_volume"))
     run = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     source = prepare_replay(events, layout.path("speed", "replay", run), slices)
-    # Two slices of lateness, rounded up to hours: a replay is whole whatever its slices' span.
-    span = events.agg(F.max("event_time").cast("timestamp").cast("long") - F.min("event_time").cast("timestamp").cast("long")).first()[0]
-    lateness = f"{max(1, -(-(span or 0) * 2 // slices // 3600))} hours"
-    cores = spark.sparkContext.defaultParallelism
-    runs.run_speed_layer(spark, source, events.schema, layout.path("speed", "streams", run), max_files, lateness, cores)
+    streams = runs.run_speed_layer(spark, source, events.schema, layout.path("speed", "streams", run), max_files)
+    for name in ("trending", "categories"):
+        streams[name].write.mode("overwrite").parquet(layout.path("speed", "streams", run, name))
 
 
 def serving(spark: SparkSession, layout: Layout, asof: dt.datetime | None = None) -> dict[str, int]:

@@ -1,15 +1,15 @@
 """Streaming queries: each reads its source once and runs to completion.
 
 Sinks are append-only or idempotent per batch id, so a restarted query
-neither loses nor repeats rows. Windows leave the state once the watermark
-passes their end (append mode).
+neither loses nor repeats rows. Windows are kept as additive rows per batch and
+added up on reading: the newest windows are there at once, late rows count, and
+no state is held between batches.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,27 +21,15 @@ from basketlens.operators.live import normalise_live
 from basketlens.operators.metrics import rows
 from basketlens.operators.profiles import profile_rates
 from basketlens.operators.tables import VersionedTable, create_empty
-from basketlens.operators.windows import category_windows, trending_windows, with_watermark
+from basketlens.operators.windows import (
+    category_from_parts,
+    category_parts,
+    trending_from_parts,
+    trending_parts,
+)
 from basketlens.sources.streams import stream_events, stream_live_json
 
 
-@contextmanager
-def state_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
-    """Number of state partitions of the queries started inside.
-
-    A query keeps the number it first started with, so it is chosen for the
-    stream (about the cluster's cores) and not left to the batch setting.
-    """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    if n is not None:
-        spark.conf.set(key, str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def start_append(
     stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", by: list[str] | None = None
 ) -> StreamingQuery:
@@ -75,65 +63,84 @@ def run_event_stream(spark: SparkSession, source: str, schema: T.StructType, out
     return spark.read.schema(schema).parquet(f"{out}/events")
 
 
+class PartStream:
+    """A stream reduced to additive rows, batch by batch.
+
+    The rows of a micro-batch are stored under its batch id; a repeated batch
+    replaces itself. ``read`` gives the rows of all batches, with ``batch_id``.
+    """
+
+    def __init__(self, stream: DataFrame, reduce: Callable[[DataFrame], DataFrame], path: str, checkpoint: str):
+        self.spark, self.stream, self.reduce = stream.sparkSession, stream, reduce
+        self.path, self.checkpoint = path, checkpoint
+        self.schema = reduce(stream).schema
+
+    def apply(self, batch: DataFrame, batch_id: int) -> None:
+        self.reduce(batch).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+
+    def start(self) -> StreamingQuery:
+        create_empty(self.spark, self.schema, f"{self.path}/batch_id=-1")
+        return start_upsert(self.stream, self.apply, self.checkpoint)
+
+    def read(self) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
+        return self.spark.read.schema(schema).parquet(self.path)
+
+
+def trending_stream(events: DataFrame, out: str, pane: str = "15 minutes", distinct: str = "exact") -> PartStream:
+    """Additive trending rows of a stream of events."""
+    return PartStream(
+        events, lambda batch: trending_parts(batch, pane, distinct), f"{out}/trending_parts", f"{out}/_checkpoints/trending"
+    )
+
+
+def category_stream(events: DataFrame, out: str, window: str = "30 minutes") -> PartStream:
+    """Additive category rows of a stream of events."""
+    return PartStream(
+        events, lambda batch: category_parts(batch, window), f"{out}/category_parts", f"{out}/_checkpoints/categories"
+    )
+
+
 def run_trending_stream(
     spark: SparkSession,
     source: str,
     schema: T.StructType,
     out: str,
-    watermark: str = "1 hour",
     window: str = "1 hour",
     slide: str | None = "15 minutes",
     max_files: int = 5,
     distinct: str = "exact",
-    partitions: int | None = None,
 ) -> DataFrame:
-    """Trending products of every window the watermark has closed."""
-    events = with_watermark(stream_events(spark, source, schema, max_files), watermark)
-    trending = trending_windows(events, window, slide, distinct)
-    with state_partitions(spark, partitions):
-        query = start_append(trending, f"{out}/trending", f"{out}/_checkpoints/trending")
-    query.awaitTermination()
-    return spark.read.schema(trending.schema).parquet(f"{out}/trending")
+    """Trending products of every window, the newest ones and late rows included."""
+    stream = trending_stream(stream_events(spark, source, schema, max_files), out, slide or window, distinct)
+    stream.start().awaitTermination()
+    return trending_from_parts(stream.read(), window, slide, distinct)
 
 
 def run_category_stream(
-    spark: SparkSession,
-    source: str,
-    schema: T.StructType,
-    out: str,
-    watermark: str = "1 hour",
-    window: str = "30 minutes",
-    max_files: int = 5,
-    partitions: int | None = None,
+    spark: SparkSession, source: str, schema: T.StructType, out: str, window: str = "30 minutes", max_files: int = 5
 ) -> DataFrame:
-    """Category metrics of every window the watermark has closed."""
-    events = with_watermark(stream_events(spark, source, schema, max_files), watermark)
-    metrics = category_windows(events, window)
-    with state_partitions(spark, partitions):
-        query = start_append(metrics, f"{out}/categories", f"{out}/_checkpoints/categories")
-    query.awaitTermination()
-    return spark.read.schema(metrics.schema).parquet(f"{out}/categories")
+    """Category metrics of every window, the newest ones and late rows included."""
+    stream = category_stream(stream_events(spark, source, schema, max_files), out, window)
+    stream.start().awaitTermination()
+    return category_from_parts(stream.read(), window)
 
 
 def run_speed_layer(
-    spark: SparkSession,
-    source: str,
-    schema: T.StructType,
-    out: str,
-    max_files: int = 5,
-    watermark: str = "1 hour",
-    partitions: int | None = None,
+    spark: SparkSession, source: str, schema: T.StructType, out: str, max_files: int = 5
 ) -> dict[str, DataFrame]:
     """The three queries side by side, each with its own checkpoint."""
     create_empty(spark, schema, f"{out}/events")
     raw = stream_events(spark, source, schema, max_files)
-    timed = with_watermark(raw, watermark)
-    streams = {"events": raw, "trending": trending_windows(timed), "categories": category_windows(timed)}
-    with state_partitions(spark, partitions):
-        started = [start_append(stream, f"{out}/{name}", f"{out}/_checkpoints/{name}") for name, stream in streams.items()]
+    trending, categories = trending_stream(raw, out), category_stream(raw, out)
+    started = [start_append(raw, f"{out}/events", f"{out}/_checkpoints/events"), trending.start(), categories.start()]
     for query in started:
         query.awaitTermination()
-    return {name: spark.read.schema(stream.schema).parquet(f"{out}/{name}") for name, stream in streams.items()}
+    return {
+        "events": spark.read.schema(schema).parquet(f"{out}/events"),
+        "trending": trending_from_parts(trending.read()),
+        "categories": category_from_parts(categories.read()),
+    }
 
 
 class ProfileStream:

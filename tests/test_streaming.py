@@ -8,7 +8,7 @@ from basketlens.sources import testbed
 from basketlens.sources.streams import prepare_replay, stream_events
 from basketlens.streaming import runs
 
-SLICES, LATENESS = 6, "6 days"
+SLICES = 6
 
 
 @pytest.fixture(scope="module")
@@ -19,11 +19,6 @@ def replay(spark, tmp_path_factory):
     return prepare_replay(events, f"{base}/slices", SLICES), events
 
 
-def closed(batch, events):
-    last = events.agg(F.max("event_time")).first()[0] - dt.timedelta(days=6)
-    return windows.flat_window(batch).filter(F.col("window_end") <= F.lit(last).cast("timestamp_ntz"))
-
-
 def same(left, right):
     assert left.count() == right.count() > 0
     assert left.exceptAll(right.select(left.columns)).count() == 0
@@ -37,22 +32,22 @@ def test_replay_is_whole(spark, replay):
 
 def test_trending_stream_equals_batch(spark, replay, tmp_path):
     path, events = replay
-    stream = runs.run_trending_stream(spark, path, events.schema, str(tmp_path), LATENESS)
-    same(windows.flat_window(stream), closed(windows.trending_windows(events), events))
+    stream = runs.run_trending_stream(spark, path, events.schema, str(tmp_path))
+    same(windows.flat_window(stream), windows.flat_window(windows.trending_windows(events)))
 
 
 def test_approximate_trending_has_the_same_windows(spark, replay, tmp_path):
     path, events = replay
-    stream = runs.run_trending_stream(spark, path, events.schema, str(tmp_path), LATENESS, slide=None, distinct="approx")
-    batch = closed(windows.trending_windows(events, slide=None), events)
+    stream = runs.run_trending_stream(spark, path, events.schema, str(tmp_path), slide=None, distinct="approx")
+    batch = windows.flat_window(windows.trending_windows(events, slide=None))
     keys = ["window_start", "product_id", "brand", "event_count", "trend_score"]
     same(windows.flat_window(stream).select(keys), batch.select(keys))
 
 
 def test_category_stream_equals_batch(spark, replay, tmp_path):
     path, events = replay
-    stream = runs.run_category_stream(spark, path, events.schema, str(tmp_path), LATENESS)
-    same(windows.flat_window(stream), closed(windows.category_windows(events), events))
+    stream = runs.run_category_stream(spark, path, events.schema, str(tmp_path))
+    same(windows.flat_window(stream), windows.flat_window(windows.category_windows(events)))
 
 
 def test_event_stream_resumes(spark, replay, tmp_path):
@@ -86,4 +81,29 @@ def test_speed_layer(spark, replay, tmp_path):
     out = runs.run_speed_layer(spark, path, events.schema, str(tmp_path))
     assert set(out) == {"events", "trending", "categories"}
     assert out["events"].count() == events.count()
-    assert out["trending"].count() > 0 and out["categories"].count() > 0
+    same(windows.flat_window(out["trending"]), windows.flat_window(windows.trending_windows(events)))
+    same(windows.flat_window(out["categories"]), windows.flat_window(windows.category_windows(events)))
+
+
+def test_late_rows_count_and_repeated_batches_do_not(spark, replay, tmp_path):
+    path, events = replay
+    stream = runs.trending_stream(stream_events(spark, path, events.schema, 2), str(tmp_path))
+    stream.start().awaitTermination()
+    first = events.orderBy("event_time", "event_id").limit(10)
+    for _ in range(2):
+        stream.apply(first, 99)
+    late, newest = {}, None
+    parts = stream.read().select("batch_id", "pane", "_n").collect()
+    for batch in sorted({r.batch_id for r in parts}):
+        own = [r for r in parts if r.batch_id == batch]
+        late[batch] = sum(r._n for r in own if newest and r.pane < newest - dt.timedelta(hours=1))
+        newest = max([r.pane for r in own] + ([newest] if newest else []))
+    assert late[99] == 10
+    assert {r.batch_id: r.late for r in windows.late_rows(stream.read(), "1 hour").collect()} == late
+    got = windows.flat_window(windows.trending_from_parts(stream.read()))
+    same(got, windows.flat_window(windows.trending_windows(events.unionByName(first))))
+
+
+def test_windows_of_broken_panes_are_refused(spark, replay):
+    with pytest.raises(ValueError):
+        windows.trending_windows(replay[1], "50 minutes", "15 minutes")
