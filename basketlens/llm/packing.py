@@ -12,7 +12,9 @@ part has packed what was left.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,9 @@ class Chunks(dict):
 
     For tokenizers that split at white space, so that chunks don't influence each
     other. A chunk is normalised, pre-split and merged by the tokenizer's own
-    parts; plain words are remembered apart from their case and end mark.
+    parts; plain words are remembered apart from their case and end mark. Memory
+    is bounded: a full generation of entries becomes the older one, from which
+    entries in use are taken over, and the one before it is dropped.
     """
 
     LIMIT = 150_000
@@ -48,39 +52,52 @@ class Chunks(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.marks = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.merge = self.tokenizer.model.tokenize
+        self.older: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
+        # The pre-tokenizer's character for each byte of a letter of several bytes.
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        latin = map(chr, range(0x80, 0x250))
+        self.spelt = {ord(c): split(c)[0][0] for c in latin if c.isalpha()}
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def parts(self, chunk: str) -> bytes:
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(chunk))
-        return np.array([t.id for part, _ in split for t in self.merge(part)], "<u4").tobytes()
+        return array("I", [t.id for part, _ in split for t in self.merge(part)]).tobytes()
+
+    @staticmethod
+    def plain(word: str) -> bool:
+        """Composed Latin letters only: one part of the pre-tokenizer, lowered letter by letter."""
+        return word.isalpha() and (word.isascii() or (max(word) < "\u0250" and is_normalized("NFC", word)))
 
     def word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
+            found = self.older_words.get(word)
+            if found is None:
+                if self.plain(word):
+                    found = array("I", [t.id for t in self.merge(word.translate(self.spelt))]).tobytes()
+                else:
+                    found = self.parts(word)
             if len(self.words) >= self.LIMIT:
-                self.words.clear()
-            if word.isascii() and word.isalpha():
-                found = np.array([t.id for t in self.merge(word)], "<u4").tobytes()
-            else:
-                found = self.parts(word)
+                self.older_words, self.words = self.words, {}
             self.words[word] = found
         return found
 
     def __missing__(self, chunk: str) -> bytes:
+        found = self.older.get(chunk)
+        if found is None:
+            core = chunk.rstrip(self.ENDS)
+            low = core.lower()
+            if self.plain(core) and self.plain(low):
+                found = self.word(low) + (self.word(chunk[len(core) :]) if len(core) < len(chunk) else b"")
+            else:
+                found = self.word(chunk.lower()) if chunk.isascii() else self.parts(chunk)
         if len(self) >= self.LIMIT:
+            self.older = dict(self)
             self.clear()
-        if chunk.isascii():
-            low = chunk.lower()
-            core = low.rstrip(self.ENDS)
-            if core.isalpha():
-                found = self.word(core) + (self.word(low[len(core) :]) if len(core) < len(low) else b"")
-            else:
-                found = self.word(low)
-        else:
-            found = self.parts(chunk)
         self[chunk] = found
         return found
 

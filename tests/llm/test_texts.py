@@ -66,6 +66,19 @@ def test_packing(some, part_pieces):
         assert len(sequences) == packing.dual_feasible(np.array([r.length for r in rows]), 4096)
 
 
+def test_chunks_equal_the_tokenizer():
+    draw = random.Random(5)
+    letters = [chr(c) for c in range(0x21, 0x250)] + list("'.es") * 30
+    texts = ["".join(draw.choice(letters) if draw.random() > 0.15 else " " for _ in range(200)) for _ in range(200)]
+    texts += ["\u00c9COLE, \u0130stanbul \u00aa \u00ba \u00b5 \u03a3\u0391\u03a3 A\u030a cafe\u0301.", "\u1e9e \u023a\u023e \u65e5\u672c\u8a9e", "", "  "]
+    texts += [f"{c}a b{c}. {c}" for c in map(chr, range(0x80, 0x250))]
+    for limit in (150_000, 20):
+        chunks = packing.Chunks(vocabulary("word_bpe_49k.json"))
+        chunks.LIMIT = limit
+        for text in texts:
+            assert chunks.ids(text).tolist() == chunks.whole(text), text
+
+
 def test_assembled_sequences(docs):
     packed = packing.pack(packing.pieces(docs, vocabulary("word_bpe_49k.json"), with_ids=True))
     rows = packing.assemble(packed).collect()
