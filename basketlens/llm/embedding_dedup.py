@@ -4,8 +4,10 @@ Equal vectors of a label are one node. A neighbour graph starts from orders by
 random projections, and is refined by joining nodes through a common neighbour
 until little changes. Edges at the threshold, checked in double precision, give
 components. A node whose whole list is over the threshold may have more links
-than its list can hold: its list is enlarged to its component, which is compared
-tile by tile. An audit compares some nodes with all others and asks for another
+than its list can hold. Such nodes look for neighbours outside their component,
+in lists and orders that leave it out, until no component is linked to another;
+then their lists are enlarged to the component, which is compared tile by tile.
+An audit compares some nodes with all others and asks for another
 round with longer lists if too few of their links were found.
 """
 
@@ -90,22 +92,28 @@ def nodes_of(vectors: DataFrame) -> DataFrame:
 
 
 def _ordered(keep: int):
-    """Neighbours within half-overlapping blocks of an order."""
+    """Neighbours of other owners within half-overlapping blocks of an order.
+
+    Of a run of rows of one owner only the first and the last stand in a block.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry: list[tuple] = []
 
         def block(rows):
-            c = np.array([r[1] for r in rows])
-            m = np.frombuffer(b"".join(r[2] for r in rows), np.float16).reshape(len(rows), -1).astype(np.float32)
-            yield from _best(c, m @ m.T, np.full(len(c), -2.0), keep)
+            c, own = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+            m = np.frombuffer(b"".join(r[3] for r in rows), np.float16).reshape(len(rows), -1).astype(np.float32)
+            yield from _best(c, own, m @ m.T, np.full(len(c), -2.0), keep)
 
         for batch in batches:
-            for row in zip(batch.column("part").to_pylist(), batch.column("c").to_pylist(), batch.column("half").to_pylist()):
+            for row in zip(*(batch.column(n).to_pylist() for n in ("part", "c", "own", "half"))):
                 if carry and row[0] != carry[0][0]:
                     if len(carry) > 1:
                         yield from block(carry)
                     carry = []
+                if len(carry) > 1 and row[2] == carry[-1][2] == carry[-2][2]:
+                    carry[-1] = row
+                    continue
                 carry.append(row)
                 if len(carry) == BLOCK:
                     yield from block(carry)
@@ -116,10 +124,9 @@ def _ordered(keep: int):
     return run
 
 
-def _best(c: np.ndarray, cosines: np.ndarray, bar: np.ndarray, keep: int) -> Iterator[pa.RecordBatch]:
-    """Each row's best columns over its bar, itself left out."""
-    np.fill_diagonal(cosines, -3)
-    cosines[c[:, None] == c[None]] = -3
+def _best(c: np.ndarray, own: np.ndarray, cosines: np.ndarray, bar: np.ndarray, keep: int) -> Iterator[pa.RecordBatch]:
+    """Each row's best columns over its bar, those of its owner left out."""
+    cosines[own[:, None] == own[None]] = -3
     keep = min(keep, len(c) - 1)
     best = np.argpartition(-cosines, keep - 1, axis=1)[:, :keep]
     value = np.take_along_axis(cosines, best, 1)
@@ -131,7 +138,7 @@ def _best(c: np.ndarray, cosines: np.ndarray, bar: np.ndarray, keep: int) -> Ite
 
 
 def _projected(k: int):
-    """(c, part, code, half): signs on random directions, drawn from the order's number."""
+    """(c, part, own, code, half): signs on random directions, drawn from the order's number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,7 +149,8 @@ def _projected(k: int):
                 planes = np.random.default_rng(1000 + k).standard_normal((m.shape[1], 24)).astype(np.float32)
                 codes[s:e] = ((m @ planes) > 0) @ (1 << np.arange(24))[::-1]
             yield pa.record_batch(
-                [batch.column("c"), batch.column("part"), pa.array(codes), batch.column("half")], names=["c", "part", "code", "half"]
+                [batch.column("c"), batch.column("part"), batch.column("own"), pa.array(codes), batch.column("half")],
+                names=["c", "part", "own", "code", "half"],
             )
 
     return run
@@ -166,12 +174,12 @@ def _meet(keep: int):
 
         def meet():
             if len(rows) > 1:
-                c = np.array([r[1] for r in rows])
+                c, own = np.array([r[1] for r in rows]), np.array([r[4] for r in rows])
                 m = np.frombuffer(b"".join(r[3] for r in rows), np.float16).reshape(len(rows), -1).astype(np.float32)
-                yield from _best(c, m @ m.T, np.array([r[2] for r in rows]), keep)
+                yield from _best(c, own, m @ m.T, np.array([r[2] for r in rows]), keep)
 
         for batch in batches:
-            for row in zip(*(batch.column(n).to_pylist() for n in ("v", "m", "bar", "half"))):
+            for row in zip(*(batch.column(n).to_pylist() for n in ("v", "m", "bar", "half", "own"))):
                 if rows and (row[0] != rows[0][0] or len(rows) == BLOCK):
                     yield from meet()
                     rows = []
@@ -181,12 +189,20 @@ def _meet(keep: int):
     return run
 
 
-def graph(nodes: DataFrame, keep: int = LIST, orders: int = ORDERS, rounds: int = ROUNDS, seed: int = 0) -> DataFrame:
-    """(a, b, cosine): each node's ``keep`` best neighbours of its part, after NN-descent."""
+def graph(
+    nodes: DataFrame, keep: int = LIST, orders: int = ORDERS, rounds: int = ROUNDS, seed: int = 0, beside: DataFrame | None = None
+) -> DataFrame:
+    """(a, b, cosine): each node's ``keep`` best neighbours of its part, after NN-descent.
+
+    ``nodes`` may have ``own``, the owner of a node: neighbours have another owner.
+    Pairs of ``beside`` (a, b) meet like neighbours, but are in no list.
+    """
+    if "own" not in nodes.columns:
+        nodes = nodes.withColumn("own", F.col("c"))
     edges = None
     for k in range(seed, seed + orders):
         started = (
-            nodes.mapInArrow(_projected(k), "c long, part long, code long, half binary")
+            nodes.select("c", "part", "own", "half").mapInArrow(_projected(k), "c long, part long, own long, code long, half binary")
             .repartitionByRange("part", "code", "c")
             .sortWithinPartitions("part", "code", "c")
             .mapInArrow(_ordered(keep), "a long, b long, cosine float")
@@ -196,14 +212,16 @@ def graph(nodes: DataFrame, keep: int = LIST, orders: int = ORDERS, rounds: int
     total = lists.count()
     for _ in range(rounds):
         bars = lists.groupBy("a").agg(F.min("cosine").alias("low"), F.count("*").alias("n"))
-        known = nodes.select("c", "half").join(bars, nodes.c == bars.a, "left").select(
+        known = nodes.select("c", "half", "own").join(bars, nodes.c == bars.a, "left").select(
             F.col("c").alias("m"),
             "half",
+            "own",
             # A short list takes any neighbour.
             F.when(F.col("n") >= keep, F.col("low").cast("double")).otherwise(F.lit(-2.0)).alias("bar"),
         )
-        both = lists.select(F.col("a").alias("v"), F.col("b").alias("m")).union(
-            lists.select(F.col("b").alias("v"), F.col("a").alias("m"))
+        pairs = lists.select("a", "b") if beside is None else lists.select("a", "b").union(beside.select("a", "b"))
+        both = pairs.select(F.col("a").alias("v"), F.col("b").alias("m")).union(
+            pairs.select(F.col("b").alias("v"), F.col("a").alias("m"))
         ).distinct()
         closer = (
             both.join(known, "m")
@@ -281,6 +299,45 @@ def enlarged(members: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def groups_of(links: DataFrame, full: DataFrame) -> DataFrame:
+    """(id, component, whole) of every node that is linked or ``full`` (c); whole components have a full node."""
+    tree = materialise(components(links), "vector-tree")
+    alone = full.join(tree, full.c == tree.id, "left_anti").select(F.col("c").alias("id"), F.col("c").alias("component"))
+    tree = tree.unionByName(alone)
+    whole = tree.join(full, tree.id == full.c).select("component").distinct().withColumn("whole", F.lit(True))
+    return materialise(
+        tree.join(whole, "component", "left").select("id", "component", F.coalesce("whole", F.lit(False)).alias("whole")),
+        "vector-groups",
+    )
+
+
+def merged(
+    nodes: DataFrame, lists: DataFrame, links: DataFrame, full: DataFrame, threshold: float, keep: int, seed: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links with those that full lists hid, and the groups they make; see ``groups_of``.
+
+    A pair is in neither list only if both of its nodes are full. So the nodes of
+    whole components go through the descent again with their own component left
+    out, until no link joins two of them.
+    """
+    while True:
+        grouped = groups_of(links, full)
+        whole = grouped.where("whole").select(F.col("id").alias("c"), F.col("component").alias("own"))
+        members = materialise(nodes.select("c", "part", "half").join(whole, "c"), "vector-members")
+        many = members.groupBy("part").agg(F.min("own").alias("x"), F.max("own").alias("y")).where("x < y").select("part")
+        if many.isEmpty():
+            return links, grouped
+        members = materialise(members.join(many, "part", "left_semi"), "vector-members")
+        ids = members.select("c")
+        beside = lists.join(ids.withColumnRenamed("c", "a"), "a", "left_semi").join(ids.withColumnRenamed("c", "b"), "b", "left_semi")
+        outside = graph(members, keep, seed=seed, beside=materialise(beside.select("a", "b"), "neighbours"))
+        found = materialise(links_of(outside, nodes, threshold), "vector-links")
+        if found.isEmpty():
+            return links, grouped
+        links = materialise(links.unionByName(found).distinct(), "vector-links")
+        seed += ORDERS
+
+
 def recall(nodes: DataFrame, links: DataFrame, grouped: DataFrame, threshold: float, audit: int = AUDIT) -> float:
     """Share of the links of ``audit`` nodes (smallest hashes) with all other nodes that were found; 1 without links.
 
@@ -336,16 +393,12 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, keep: int = L
         fresh = graph(nodes, size, seed=turn * ORDERS)
         lists = fresh if lists is None else materialise(_top(lists.unionByName(fresh), size), "neighbours")
         links = materialise(links_of(lists, nodes, threshold), "vector-links")
-        tree = materialise(components(links), "vector-tree")
-        ends = links.select(F.col("a").alias("c"), F.col("b").alias("d")).union(links.select("b", "a"))
-        full = ends.groupBy("c").agg(F.count("*").alias("n")).where(F.col("n") >= size).select("c")
-        saturated = tree.join(full, tree.id == full.c).select("component").distinct().withColumn("whole", F.lit(True))
-        grouped = materialise(
-            tree.join(saturated, "component", "left").select("id", "component", F.coalesce("whole", F.lit(False)).alias("whole")),
-            "vector-groups",
-        )
+        near = lists.where(F.col("cosine") >= threshold - SLACK).groupBy(F.col("a").alias("c")).count()
+        full = materialise(near.where(F.col("count") >= size).select("c"), "vector-full")
+        links, grouped = merged(nodes, lists, links, full, threshold, size, (turn + TRIES) * ORDERS)
         if recall(nodes, links, grouped, threshold) >= RECALL:
             break
+    ends = links.select(F.col("a").alias("c"), F.col("b").alias("d")).union(links.select("b", "a"))
     inside = grouped.where("whole").join(nodes.select("c", "copies", "exact"), F.col("id") == F.col("c")).select("component", "c", "copies", "exact")
     part = grouped.where("NOT whole").select(F.col("id").alias("c"))
     listed = (

@@ -115,6 +115,36 @@ def test_near_vectors_of_the_table(spark):
     assert ordered(r[:3] for r in embedding_dedup.near_vectors(frame).collect()) == ordered(vectors(rows))
 
 
+def brute_links(x, threshold=0.93):
+    """Links of each row and the smallest row of its component, by all pairs."""
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    hit = unit @ unit.T >= threshold
+    low = np.arange(len(x))
+    while (low != (low := np.array([low[h].min() for h in hit]))).any():
+        pass
+    return [(i, int(n) - 1, int(k)) for i, (n, k) in enumerate(zip(hit.sum(1), low))]
+
+
+def around(draw, centre, cosine, n):
+    """n unit vectors with this cosine to a centre, otherwise at random."""
+    noise = draw.standard_normal((n, len(centre)))
+    noise -= np.outer(noise @ centre, centre)
+    return cosine * centre + (1 - cosine**2) ** 0.5 * noise / np.linalg.norm(noise, axis=1)[:, None]
+
+
+def test_tight_groups_near_each_other_are_one(spark):
+    draw = np.random.default_rng(8)
+    unit = lambda: around(draw, np.eye(64)[0], 0.0, 1)[0]
+    first = unit()
+    second = around(draw, first, 0.96, 1)[0]
+    third = around(draw, second, 0.96, 1)[0]  # linked with the second group
+    x = np.vstack([around(draw, c, 0.996, 120) for c in (first, second, third, unit())] + [draw.standard_normal((200, 64))])
+    want = brute_links(x)
+    assert len({k for _, _, k in want[:360]}) == 1 and min(n for _, n, _ in want[120:240]) > 300
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    assert ordered(r[:3] for r in embedding_dedup.near_vectors(frame).collect()) == ordered(want)
+
+
 def test_pipeline_stages(spark, docs):
     import corpus_pipeline
 
