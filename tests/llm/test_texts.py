@@ -188,3 +188,27 @@ def test_shards_of_odd_rows(odd, none, spark):
     assert all(n <= max(5000, largest) for n in sizes.values())
     same = sharding.shards(spark.createDataFrame([(1, "a" * 10)] * 7, "doc_id long, text string"), limit=25).collect()
     assert sorted(collections.Counter(r.shard for r in same).values()) == [1, 2, 2, 2]
+
+
+def test_written_shards_hold_every_row_once(spark, odd, tmp_path):
+    rows = [(None, "n" * 30)] * 5 + [("", "n" * 30)] * 3 + [("k", "x" * n) for n in (10, 10, 10, 60)] + [(str(i), "y" * i) for i in range(20)]
+    rows = [(*r, i, None if i % 3 else "own") for i, r in enumerate(rows + [("z", None), (None, None)])]
+    small = spark.createDataFrame(rows, "doc_id string, text string, n int, shard string")
+    path = f"file://{tmp_path}/shards"
+    for docs, limit in ((small, 45), (small, 1 << 20), (odd, 5000)):
+        totals = sharding.write_shards(docs, path, limit=limit).collect()
+        back = spark.read.parquet(path)
+        folder = "shard_" if "shard" in docs.columns else "shard"
+        assert ordered(back.select(docs.columns).collect()) == ordered(docs.collect())
+        held = collections.defaultdict(list)
+        for r in back.collect():
+            held[r[folder][1:]].append(len((r.text or "").encode()))
+        assert ordered(totals) == ordered((k, len(n), sum(n)) for k, n in held.items())
+        assert all(sum(n) <= limit or len([x for x in n if x]) == 1 for n in held.values())
+        assert sorted(held) == sorted({r.shard for r in sharding.shards(docs, limit=limit).collect()})
+
+
+def test_oversized_keys_are_numbered_across_blocks(spark):
+    rows = spark.range(0, 150_000, 1, 2).selectExpr("7L AS doc_id", "'ab' AS text")
+    sizes = [r["count"] for r in sharding.shards(rows, limit=14).groupBy("shard").count().collect()]
+    assert max(sizes) == 7 and sum(sizes) == 150_000 and len(sizes) == -(-150_000 // 7)
