@@ -7,13 +7,15 @@ components. A node whose whole list is over the threshold may have more links
 than its list can hold. Such nodes look for neighbours outside their component,
 in lists and orders that leave it out, until no component is linked to another;
 then their lists are enlarged to the component, which is compared tile by tile.
-An audit compares some nodes with all others and asks for another
-round with longer lists if too few of their links were found.
+An audit compares some nodes with all others and asks for another descent with
+longer lists if too few of their links were found; after the last one that falls
+short, all pairs of a part are compared tile by tile.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +26,13 @@ from basketlens.llm.common import components
 from basketlens.session import materialise
 
 THRESHOLD = 0.93
-#: Neighbours of a list, orders by projections to start from, rounds, nodes of a block or a meeting, nodes of a tile.
-LIST, ORDERS, ROUNDS, BLOCK, TILE = 16, 3, 6, 64, 512
+#: Neighbours of a list, orders by projections to start from, nodes of a block or a meeting, nodes of a tile.
+LIST, ORDERS, BLOCK, TILE = 16, 3, 64, 512
 #: Half-precision cosines are this near to the exact ones.
 SLACK = 0.01
 #: A round that changes less than this share of the list entries is the last.
 SETTLED = 0.002
-#: Audited nodes, and the share of their links that has to be found.
+#: Audited nodes of each kind (without links, listed, in a whole component), the share of a node's links that has to be found, descents.
 AUDIT, RECALL, TRIES = 256, 0.95, 3
 
 
@@ -190,7 +192,7 @@ def _meet(keep: int):
 
 
 def graph(
-    nodes: DataFrame, keep: int = LIST, orders: int = ORDERS, rounds: int = ROUNDS, seed: int = 0, beside: DataFrame | None = None
+    nodes: DataFrame, keep: int = LIST, orders: int = ORDERS, seed: int = 0, beside: DataFrame | None = None
 ) -> DataFrame:
     """(a, b, cosine): each node's ``keep`` best neighbours of its part, after NN-descent.
 
@@ -209,8 +211,7 @@ def graph(
         )
         edges = started if edges is None else edges.unionByName(started)
     lists = materialise(_top(edges, keep), "neighbours")
-    total = lists.count()
-    for _ in range(rounds):
+    for turn in count():
         bars = lists.groupBy("a").agg(F.min("cosine").alias("low"), F.count("*").alias("n"))
         known = nodes.select("c", "half", "own").join(bars, nodes.c == bars.a, "left").select(
             F.col("c").alias("m"),
@@ -226,14 +227,15 @@ def graph(
         closer = (
             both.join(known, "m")
             .repartition("v")
-            .sortWithinPartitions("v", F.xxhash64("m"))
+            # Other chunks of a hub's members each time.
+            .sortWithinPartitions("v", F.xxhash64("m", F.lit(seed), F.lit(turn)))
             .mapInArrow(_meet(keep), "a long, b long, cosine float")
         )
         after = materialise(_top(lists.unionByName(closer), keep), "neighbours")
         kept = after.join(lists, ["a", "b"], "left_semi").count()
         now = after.count()
         lists = after
-        if now - kept <= SETTLED * max(now, total, 1):
+        if now - kept <= SETTLED * max(now, 1):
             break
     return lists
 
@@ -278,11 +280,25 @@ def _tiled(threshold: float):
     return run
 
 
-def enlarged(members: DataFrame, threshold: float) -> DataFrame:
-    """(c, n): links of every node with its whole component, each pair of tiles in a task of its own.
+def _joined(threshold: float):
+    """Edges that join the linked nodes of two tiles, fewer than nodes."""
 
-    ``members`` has (component, c, copies, exact); nothing is emitted a pair.
-    """
+    def run(group: pa.Table) -> pa.Table:
+        c = group["c"].to_numpy()
+        m = np.frombuffer(b"".join(group["exact"].to_pylist()), np.float64).reshape(len(c), -1)
+        hit = (m @ m.T) >= threshold
+        np.fill_diagonal(hit, True)
+        low, before = np.arange(len(c)), None
+        while before is None or (low != before).any():
+            before, low = low, np.where(hit, low[None], len(c)).min(1)
+        use = low != np.arange(len(c))
+        return pa.table({"a": pa.array(c[use]), "b": pa.array(c[low[use]])})
+
+    return run
+
+
+def tiles(members: DataFrame):
+    """``members`` (component, c, copies, exact) grouped by the pairs of tiles of their component."""
     size = members.groupBy("component").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     dealt = members.join(size, "component").withColumn("t", F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int"))
     pairs = dealt.select("*", F.explode(F.expr("sequence(0, tiles - 1)")).alias("u")).select(
@@ -294,9 +310,22 @@ def enlarged(members: DataFrame, threshold: float) -> DataFrame:
         "copies",
         "exact",
     )
-    return (
-        pairs.groupBy("component", "i", "j").applyInArrow(_tiled(threshold), "c long, n long").groupBy("c").agg(F.sum("n").alias("n"))
-    )
+    return pairs.groupBy("component", "i", "j")
+
+
+def enlarged(members: DataFrame, threshold: float) -> DataFrame:
+    """(c, n): links of every node with its whole component, each pair of tiles in a task of its own.
+
+    ``members`` has (component, c, copies, exact); nothing is emitted a pair.
+    """
+    return tiles(members).applyInArrow(_tiled(threshold), "c long, n long").groupBy("c").agg(F.sum("n").alias("n"))
+
+
+def exhaustive(nodes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(id, component) of linked nodes and (c, n) of all nodes, by comparing all pairs of each part."""
+    members = nodes.select(F.col("part").alias("component"), "c", "copies", "exact")
+    edges = tiles(members).applyInArrow(_joined(threshold), "a long, b long")
+    return materialise(components(edges), "vector-groups"), enlarged(members, threshold)
 
 
 def groups_of(links: DataFrame, full: DataFrame) -> DataFrame:
@@ -338,44 +367,78 @@ def merged(
         seed += ORDERS
 
 
-def recall(nodes: DataFrame, links: DataFrame, grouped: DataFrame, threshold: float, audit: int = AUDIT) -> float:
-    """Share of the links of ``audit`` nodes (smallest hashes) with all other nodes that were found; 1 without links.
+def recall(nodes: DataFrame, links: DataFrame, grouped: DataFrame, threshold: float, audit: int = AUDIT, seed: int = 0) -> float:
+    """Mean share of a node's links with all other nodes that were found; 1 without links.
 
-    A link counts as found if it is listed or lies in an enlarged component
-    (``grouped``: id, component, whole).
+    ``audit`` nodes each (smallest hashes) are asked of those without component,
+    in a listed one and in a whole one, and stand for all nodes of their kind. Means
+    are taken of nodes with few, with some and with more links than a list has; the
+    least counts, so large groups don't outweigh small ones. A link is found if it
+    is listed or lies in a whole component (``grouped``: id, component, whole).
     """
-    asked = nodes.orderBy(F.xxhash64("c")).limit(audit).select("c", "part", "exact").collect()
-    by_part: dict[int, tuple[list, np.ndarray]] = {}
-    for part in {r.part for r in asked}:
-        own = [r for r in asked if r.part == part]
-        by_part[part] = ([r.c for r in own], np.frombuffer(b"".join(r.exact for r in own), np.float64).reshape(len(own), -1))
+    kind = F.when(F.col("component").isNull(), 0).when(F.col("whole"), 2).otherwise(1)
+    judged = materialise(
+        nodes.select("c", "part", "exact")
+        .join(grouped.select(F.col("id").alias("c"), "component", "whole"), "c", "left")
+        .select("c", "part", "exact", F.when(F.col("whole"), F.col("component")).alias("inside"), kind.alias("kind")),
+        "vector-audit",
+    )
+    weight: dict[int, float] = {}
+    by_part: dict[int, list] = {}
+    for r in judged.groupBy("kind").count().collect():
+        asked = judged.where(F.col("kind") == r.kind).orderBy(F.xxhash64("c", F.lit(seed))).limit(audit).collect()
+        for one in asked:
+            weight[one.c] = r["count"] / len(asked)
+            by_part.setdefault(one.part, []).append((one.c, -1 if one.inside is None else one.inside, bytes(one.exact)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             c, part = batch.column("c").to_numpy(), batch.column("part").to_numpy()
+            inside = batch.column("inside").fill_null(-2).to_numpy()
             raw = batch.column("exact").to_pylist()
             for p in np.unique(part).tolist():
                 if p in by_part:
                     at = np.flatnonzero(part == p)
                     m = np.frombuffer(b"".join(raw[i] for i in at), np.float64).reshape(len(at), -1)
-                    ids, asked_of = by_part[p]
-                    x, y = np.nonzero((m @ asked_of.T) >= threshold)
-                    a, b = c[at][x], np.array(ids)[y]
-                    use = a != b
-                    yield pa.record_batch([pa.array(a[use]), pa.array(b[use])], names=["a", "b"])
-
-    true = nodes.select("c", "part", "exact").mapInArrow(run, "a long, b long")
-    true = true.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    whole = grouped.where("whole").select("id", "component")
-    one, two = (whole.select(F.col("id").alias(x), F.col("component").alias(f"{x}_in")) for x in ("a", "b"))
-    judged = (
-        true.join(links.withColumn("listed", F.lit(True)), ["a", "b"], "left")
-        .join(one, "a", "left")
-        .join(two, "b", "left")
-        .agg(F.count("*").alias("n"), F.count(F.when(F.col("listed") | (F.col("a_in") == F.col("b_in")), 1)).alias("found"))
-        .first()
+                    ids, own = (np.array([r[k] for r in by_part[p]], np.int64) for k in (0, 1))
+                    asked = np.frombuffer(b"".join(r[2] for r in by_part[p]), np.float64).reshape(len(ids), -1)
+                    hit = ((m @ asked.T) >= threshold) & (c[at][:, None] != ids[None])
+                    same = hit & (inside[at][:, None] == own[None])
+                    x, y = np.nonzero(hit & ~same)
+                    # Links within whole components are counted here, the others are looked up.
+                    a, n = np.concatenate([ids, ids[y]]), np.concatenate([same.sum(0), np.ones(len(x), np.int64)])
+                    b = pa.array(np.concatenate([ids, c[at][x]]), mask=np.arange(len(a)) < len(ids))
+                    yield pa.record_batch([pa.array(a), b, pa.array(n)], names=["a", "b", "n"]).filter(pa.array(n > 0))
+
+    true = judged.select("c", "part", "exact", "inside").mapInArrow(run, "a long, b long, n long")
+    listed = links.select(F.col("a").alias("x"), F.col("b").alias("y"), F.lit(True).alias("listed"))
+    per_node = (
+        true.select("*", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+        .join(listed, ["x", "y"], "left")
+        .groupBy("a")
+        .agg(F.sum("n").alias("n"), F.sum(F.when(F.col("b").isNull() | F.col("listed"), F.col("n")).otherwise(0)).alias("found"))
+        .collect()
     )
-    return judged.found / judged.n if judged.n else 1.0
+    shares = []
+    for low, high in ((1, 4), (4, LIST), (LIST, float("inf"))):
+        some = [(weight[r.a], r.found / r.n) for r in per_node if low <= r.n < high]
+        if some:
+            shares.append(sum(w * x for w, x in some) / sum(w for w, _ in some))
+    return min(shares, default=1.0)
+
+
+def counted(nodes: DataFrame, links: DataFrame, grouped: DataFrame, threshold: float) -> DataFrame:
+    """(c, n): links of every linked node, copies included; whole components (see ``groups_of``) are compared again."""
+    ends = links.select(F.col("a").alias("c"), F.col("b").alias("d")).union(links.select("b", "a"))
+    inside = grouped.where("whole").join(nodes.select("c", "copies", "exact"), F.col("id") == F.col("c")).select("component", "c", "copies", "exact")
+    part = grouped.where("NOT whole").select(F.col("id").alias("c"))
+    listed = (
+        ends.join(part, "c", "left_semi")
+        .join(nodes.select(F.col("c").alias("d"), "copies"), "d")
+        .groupBy("c")
+        .agg(F.sum("copies").alias("n"))
+    )
+    return enlarged(inside, threshold).unionByName(listed)
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, keep: int = LIST) -> DataFrame:
@@ -396,18 +459,11 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, keep: int = L
         near = lists.where(F.col("cosine") >= threshold - SLACK).groupBy(F.col("a").alias("c")).count()
         full = materialise(near.where(F.col("count") >= size).select("c"), "vector-full")
         links, grouped = merged(nodes, lists, links, full, threshold, size, (turn + TRIES) * ORDERS)
-        if recall(nodes, links, grouped, threshold) >= RECALL:
+        if recall(nodes, links, grouped, threshold, seed=turn) >= RECALL:
+            grouped, counts = grouped.select("id", "component"), counted(nodes, links, grouped, threshold)
             break
-    ends = links.select(F.col("a").alias("c"), F.col("b").alias("d")).union(links.select("b", "a"))
-    inside = grouped.where("whole").join(nodes.select("c", "copies", "exact"), F.col("id") == F.col("c")).select("component", "c", "copies", "exact")
-    part = grouped.where("NOT whole").select(F.col("id").alias("c"))
-    listed = (
-        ends.join(part, "c", "left_semi")
-        .join(nodes.select(F.col("c").alias("d"), "copies"), "d")
-        .groupBy("c")
-        .agg(F.sum("copies").alias("n"))
-    )
-    counts = enlarged(inside, threshold).unionByName(listed)
+    else:
+        grouped, counts = exhaustive(nodes, threshold)
     named = (
         nodes.select("c", "label", "embedding", "low", "copies")
         .join(grouped.select(F.col("id").alias("c"), "component"), "c", "left")

@@ -145,6 +145,28 @@ def test_tight_groups_near_each_other_are_one(spark):
     assert ordered(r[:3] for r in embedding_dedup.near_vectors(frame).collect()) == ordered(want)
 
 
+def test_audit_sees_small_groups_beside_a_large_one(spark):
+    draw = np.random.default_rng(9)
+    unit = lambda: around(draw, np.eye(64)[0], 0.0, 1)[0]
+    x = np.vstack([around(draw, unit(), 0.996, 300)] + [around(draw, unit(), 0.99, 2) for _ in range(40)])
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    nodes = embedding_dedup.nodes_of(frame)
+    large = nodes.where("low < 300").selectExpr("c AS id", "0L AS component", "true AS whole")
+    links = spark.createDataFrame([], "a long, b long")
+    assert embedding_dedup.recall(nodes, links, large, 0.93) == 0
+    assert embedding_dedup.recall(nodes.where("low < 300"), links, large, 0.93) == 1
+
+
+def test_all_pairs_are_compared_where_the_descent_fails(spark, monkeypatch):
+    draw = np.random.default_rng(10)
+    x = np.vstack([around(draw, np.eye(16)[0], 0.97, 700)] + [np.repeat(draw.standard_normal((60, 16)), 2, 0)])
+    x[700::2] *= 1.5
+    x[701::3] += 0.01
+    monkeypatch.setattr(embedding_dedup, "graph", lambda nodes, *a, **k: spark.createDataFrame([], "a long, b long, cosine float"))
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    assert ordered(r[:3] for r in embedding_dedup.near_vectors(frame).collect()) == ordered(brute_links(x))
+
+
 def test_pipeline_stages(spark, docs):
     import corpus_pipeline
 
