@@ -32,12 +32,12 @@ from basketlens.session import materialise
 FIT_ROWS = 1500
 #: Bytes of a window and between windows, of the ordinary dictionary, of an n-gram.
 WINDOW, STEP, DICTIONARY, GRAM = 64, 32, 49_152, 5
-#: Ordinary windows of a training text (evenly spread), passages at most.
-WINDOWS_A_TEXT, PASSAGES = 20, 200
-#: Evidence for a passage (log-likelihood ratio): at least, and as a share of the strongest passage's.
-EVIDENCE, SHARE = 20.0, 0.15
+#: Ordinary windows of a training text (evenly spread).
+WINDOWS_A_TEXT = 20
+#: Evidence for a passage at least (log-likelihood ratio).
+EVIDENCE = 20.0
 THRESHOLD = 0.5
-#: Whole tables and long searches, so that chance collisions of table entries don't decide a window.
+#: Whole tables and long searches, so that chance collisions of table entries don't decide a window; logs grow with the dictionary.
 SEARCH = dict(window_log=17, chain_log=17, hash_log=17, search_log=6, min_match=5, target_length=32)
 #: Bytes around a toxic n-gram that are looked at when it is lengthened.
 CONTEXT = 24
@@ -128,11 +128,10 @@ def passages(stretches: list[bytes], ordinary: dict[int, int], n_ordinary: int)
     heap = [(-strength(k), k) for k in ordinary if count[k]]
     heapq.heapify(heap)
     found: list[bytes] = []
-    floor = max(EVIDENCE, -SHARE * heap[0][0]) if heap else EVIDENCE
-    while heap and len(found) < PASSAGES:
+    while heap:
         old, key = heapq.heappop(heap)
         now = strength(key)
-        if now < floor:
+        if now < EVIDENCE:
             continue
         if now < -old - 1e-9:
             heapq.heappush(heap, (-now, key))
@@ -241,8 +240,11 @@ def measure(docs: DataFrame, dictionaries: tuple[bytes, bytes] | None) -> DataFr
     def make():
         pair = None
         if shared.value is not None:
+            # All passages are within reach, however many there are.
+            reach = max(len(d) + WINDOW for d in shared.value).bit_length()
+            search = {k: max(v, reach) if k in ("window_log", "chain_log", "hash_log") else v for k, v in SEARCH.items()}
             how = zstandard.ZstdCompressionParameters(
-                **SEARCH, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_dict_id=False
+                **search, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_dict_id=False
             )
             raw = zstandard.DICT_TYPE_RAWCONTENT
             pair = [

@@ -52,6 +52,24 @@ def test_toxic_passages_are_mined():
     assert toxicity.passages(texts, keys, 300)[0].strip().startswith((b"lovely", b"grumpf"))
 
 
+def test_rare_passages_are_mined_beside_a_dominant_one():
+    draw = np.random.default_rng(6)
+    word = lambda: "".join(draw.choice(list("bcdfghjklmnpqrstvwxz"), 12))
+    rare = [word() for _ in range(250)]
+    texts = [b" dominantmarker "] * 2000 + [f" {w} ".encode() for w in rare for _ in range(16)]
+    keys = {k: 0 for t in texts for k in toxicity._keys(t)}
+    found = b"|".join(toxicity.passages(texts, keys, len(texts)))
+    assert b"dominant" in found and all(any(w[i : i + 5].encode() in found for i in range(8)) for w in rare)
+
+
+def test_passages_beyond_the_usual_window_are_reached(spark):
+    draw = np.random.default_rng(7)
+    filler = bytes(draw.integers(97, 123, 400_000).tolist())
+    pair = (bytes(range(1, 8)) * 58_000)[: 400_000 + 40] + b"ordinary words", b"a passage of its own that is toxic one.." + filler + b"ordinary words"
+    frame = spark.createDataFrame([(1, "a passage of its own that is toxic one")], "doc_id long, text string")
+    assert toxicity.measure(frame, pair).first()["__llm_first"] > 15
+
+
 def counts(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
