@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.llm import (
     byte_bpe,
+    chat_format,
     embedding_dedup,
+    hard_negatives,
     license_scan,
     minhash,
     packing,
@@ -18,6 +20,7 @@ from basketlens.llm import (
     sharding,
     substring_dedup,
     toxicity,
+    vector_codes,
 )
 from basketlens.llm.common import table
 
@@ -86,6 +89,22 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-byte code of every vector, by codebooks that all vectors refine."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of each hundredth vector, by its five positives."""
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's examples, read back from their texts as digests."""
+    turns = chat_format.with_tricky(table(spark, sf_dir, "conversations"))
+    return chat_format.digest(chat_format.conversation_texts(turns))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_qda": op1_quality_qda,
@@ -98,8 +117,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_dedup": op8_minhash_dedup,
         "op9_license_scan": op9_license_scan,
         "op10_best_fit_packing": op10_best_fit_packing,
+        "op11_vector_codes": op11_vector_codes,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_chat_format": op13_chat_format,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_extendible_sharding": sharding.SHARDS_SQL.format(limit=sharding.LIMIT)}
+    return {
+        "op6_extendible_sharding": sharding.SHARDS_SQL.format(limit=sharding.LIMIT),
+        "op11_vector_codes": vector_codes.SQL,
+        "op12_hard_negatives": hard_negatives.SQL,
+        "op13_chat_format": chat_format.SQL,
+    }
