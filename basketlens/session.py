@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+#: Folders behind the tables that ``materialise`` gave, and lists that record new ones.
+_FOLDERS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+_RECORDS: list[list[str]] = []
 
 
 def get_spark(app: str = "basketlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -79,5 +85,34 @@ def materialise(df, name: str, partition_by: list[str] | None = None, spread: bo
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    for record in _RECORDS:
+        record.append(path)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[table] = path
+    return table
+
+
+def delete_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders of the shared folder, if they are still there."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
+def forget(*tables) -> None:
+    """Delete tables that ``materialise`` gave, once what follows from them is written itself."""
+    for table in tables:
+        delete_folders(table.sparkSession, [_FOLDERS.pop(table)])
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Folders that ``materialise`` writes meanwhile."""
+    paths: list[str] = []
+    _RECORDS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDS.remove(paths)
