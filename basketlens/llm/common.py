@@ -15,13 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from basketlens.session import materialise
+from basketlens.session import forget, materialise
 
 #: Bytes of text that are hashed at once.
 PIECE = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
-_WIDE = 0xC2B2AE3D27D4EB4F
+_LANES = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD1342543DE82EF95))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,15 +132,21 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def hashes(self, powers: Powers) -> np.ndarray:
-        """64 bits a word, piece by piece."""
+    def hashes(self, lane: int = 0) -> np.ndarray:
+        """64 bits a word, piece by piece: a sum of scrambled (byte, place in the word), scrambled again.
+
+        Lanes are independent names of the same words.
+        """
         out = np.empty(len(self), np.uint64)
         at = 0
         while at < len(self):
             to = max(at + 1, int(np.searchsorted(self.starts, self.starts[at] + PIECE)))
             low, high = self.starts[at], self.ends[to - 1]
-            values = self.data[low:high].astype(np.uint64) + np.uint64(1)
-            out[at:to] = powers.spans(values, self.starts[at:to] - low, self.ends[at:to] - low)
+            starts, ends = self.starts[at:to] - low, self.ends[at:to] - low
+            place = np.arange(high - low) - np.repeat(starts, np.diff(np.append(starts, high - low)))
+            sums = np.zeros(high - low + 1, np.uint64)
+            np.cumsum(mix((place.astype(np.uint64) << np.uint64(8)) + self.data[low:high] + _LANES[lane]), out=sums[1:])
+            out[at:to] = mix(sums[ends] - sums[starts] + mix((ends - starts).astype(np.uint64) ^ _LANES[lane]))
             at = to
         return out
 
@@ -243,6 +249,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         state = after.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("a")
         ).first()
+        forget(pairs)
         pairs = after
         if state == seen:
             break

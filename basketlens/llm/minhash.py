@@ -7,9 +7,10 @@ and generation ends once no later arrival can win. Equal places estimate the
 probability Jaccard similarity. Bands of places give buckets; in a bucket,
 members are compared with one pivot, not with each other. Verified links are
 joined to components, and buckets that still hold several components are
-compared again, with other pivots, and at last tile by tile by the signatures
-of different components. So a component is whole, although no group is
-expanded into all its pairs.
+compared again, with other pivots, and at last tile by tile: a task holds two
+tiles of a bucket, compares members of different components and gives no more
+links than join them. So a component is whole, although no group is expanded
+into all its pairs.
 """
 
 from __future__ import annotations
@@ -23,20 +24,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.llm.common import Powers, Words, components, mix, slices
-from basketlens.session import materialise
+from basketlens.session import forget, materialise
 
 WIDTH, SIMILARITY = 5, 0.8
 #: 25 bands of 4 places: a pair at similarity 0.8 is missed with a probability of 2e-6.
 BANDS, PLACES = 25, 4
 #: Estimates under the similarity less this are not verified: five standard deviations of the estimate.
 MARGIN = 0.2
-#: Rounds with a pivot of each bucket before pairs across components; members of a tile then.
-PIVOT_ROUNDS, TILE = 3, 512
+#: Rounds with a pivot of each bucket before components are compared; members and shingles of a tile then.
+PIVOT_ROUNDS, TILE, TILE_SHINGLES = 3, 512, 1 << 18
 
 
 def shingles(words: Words, powers: Powers, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, hash, count) of the distinct shingles of each row, by row and hash; under ``width`` words are one shingle."""
-    hashes = words.hashes(powers)
+    hashes = words.hashes()
     n = np.diff(words.first)
     number = np.where(n >= width, n - width + 1, np.minimum(n, 1))
     rows = np.repeat(np.arange(len(n)), number)
@@ -132,38 +133,70 @@ def _bands(bands: int, places: int):
     return run
 
 
-def _across(bands: int, places: int, least: float):
-    """Two tiles of a bucket -> pairs of different components whose signatures are near, each in the first band they share."""
+def _across(bands: int, places: int, width: int, similarity: float):
+    """Two tiles of a bucket -> links (a, b) that join its components: fewer than the members, however many pairs are similar.
+
+    Pairs of different components with near signatures are compared exactly, in
+    the first band they share only; a link joins its components at once, so
+    later pairs of them are passed over.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         side, c = group["side"].to_numpy(), group["c"].to_numpy()
-        home, band = group["component"].to_numpy(), int(group["band"][0].as_py())
+        home, band = group["component"].to_numpy().copy(), int(group["band"][0].as_py())
         signs = np.frombuffer(b"".join(group["sign"].to_pylist()), np.uint32).reshape(len(c), bands, places)
+        rows, keys, counts = shingles(Words(group["text"]), Powers(), width)
+        cut = np.searchsorted(rows, np.arange(len(c) + 1))
+        size = np.bincount(rows, counts, len(c))
+        plain = np.maximum.reduceat(counts, cut[:-1]) == 1
+        kinds, number = np.unique(keys, return_inverse=True)
+        share = counts / size[rows]
+        own = np.zeros(len(kinds))
         one = np.flatnonzero(side == 0)
-        two = np.flatnonzero(side == 1) if (side == 1).any() else one
-        a, b = [], []
+        two = np.flatnonzero(side == 1)
+        links = []
         for i in one.tolist():
-            other = two[home[two] > home[i]] if two is one else two[home[two] != home[i]]
-            if len(other):
-                same = signs[other] == signs[i]
-                near = other[(same.mean((1, 2)) >= least) & ~same[:, :band].all(2).any(1)]
-                a.append(np.full(len(near), c[i]))
-                b.append(c[near])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        return pa.table({"c": pa.array(a, pa.int64()), "pivot": pa.array(b, pa.int64())})
+            other = two if len(two) else one[one > i]
+            other = other[home[other] != home[i]]
+            same = signs[other] == signs[i]
+            near = other[(same.mean((1, 2)) >= similarity - MARGIN) & ~same[:, :band].all(2).any(1)]
+            if not len(near):
+                continue
+            lengths = cut[near + 1] - cut[near]
+            starts = np.cumsum(lengths) - lengths
+            entries = np.arange(lengths.sum()) + np.repeat(cut[near] - starts, lengths)
+            mine = slice(cut[i], cut[i + 1])
+            own[number[mine]] = share[mine]
+            met = own[number[entries]]
+            own[number[mine]] = 0
+            common = np.add.reduceat((met > 0).astype(float), starts)
+            exact = common / (size[i] + size[near] - common)  # of shingles that occur once each
+            bound = np.add.reduceat(np.minimum(met, share[entries]), starts)  # no similarity is above it
+            for j, like, most in zip(near.tolist(), exact.tolist(), bound.tolist()):
+                if home[j] == home[i] or most < similarity - 1e-9:
+                    continue
+                if not (plain[i] and plain[j]):
+                    like = probability_jaccard((keys[mine], counts[mine]), (keys[cut[j] : cut[j + 1]], counts[cut[j] : cut[j + 1]]))
+                if like >= similarity:
+                    links.append((int(c[i]), int(c[j])))
+                    home[home == home[j]] = home[i]
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
-def _pairs_across(grouped: DataFrame, classes: DataFrame, bands: int, places: int, similarity: float) -> DataFrame:
-    """(c, pivot) of buckets with several components, tile by tile; only near signatures of different components leave a task."""
-    size = grouped.groupBy("bucket").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+def _links_across(grouped: DataFrame, classes: DataFrame, texts: DataFrame, bands: int, places: int, width: int, similarity: float) -> DataFrame:
+    """Links (a, b) of buckets with several components, tile by tile; a tile has TILE members and TILE_SHINGLES shingles on average."""
+    sized = grouped.join(classes.select("c", "n_shingles"), "c")
+    tiles = F.ceil(F.greatest(F.count("*") / TILE, F.sum("n_shingles") / TILE_SHINGLES)).cast("int")
+    size = sized.groupBy("bucket").agg(tiles.alias("tiles"))
     dealt = grouped.join(size, "bucket").withColumn("t", F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int"))
-    tiles = dealt.select("*", F.explode(F.expr("sequence(0, tiles - 1)")).alias("u")).select(
+    copies = dealt.select("*", F.explode(F.expr("sequence(0, tiles - 1)")).alias("u")).select(
         "bucket", "band", F.least("t", "u").alias("i"), F.greatest("t", "u").alias("j"), (F.col("t") > F.col("u")).cast("int").alias("side"), "c", "component"
     )
-    signed = tiles.join(classes.select("c", "sign"), "c")
-    return signed.groupBy("bucket", "i", "j").applyInArrow(_across(bands, places, similarity - MARGIN), "c long, pivot long")
+    whole = copies.join(classes.select("c", "sign").join(texts, "c"), "c")
+    return whole.groupBy("bucket", "i", "j").applyInArrow(_across(bands, places, width, similarity), "a long, b long")
 
 
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -269,7 +302,7 @@ def near_duplicates(
         .select("c", "text"),
         "minhash-texts",
     )
-    links, tree = None, None
+    links, tree, split, used = None, None, None, [members, texts]
     for k in range(PIVOT_ROUNDS + 1):
         if tree is None:
             grouped = members.withColumn("component", F.col("c"))
@@ -277,13 +310,13 @@ def near_duplicates(
             grouped = members.join(tree.withColumnRenamed("id", "c"), "c", "left").withColumn(
                 "component", F.coalesce("component", "c")
             )
-            split = (
+            several = (
                 grouped.groupBy("bucket")
                 .agg(F.min("component").alias("x"), F.max("component").alias("y"))
                 .where("x <> y")
                 .select("bucket")
             )
-            grouped = materialise(grouped.join(split, "bucket"), "minhash-split")
+            grouped = split = materialise(grouped.join(several, "bucket"), "minhash-split")
             if grouped.isEmpty():
                 break
         if k < PIVOT_ROUNDS:
@@ -296,15 +329,19 @@ def near_duplicates(
                 .groupBy("bucket")
                 .agg(F.min("c").alias("pivot"), F.min("component").alias("home"))
             )
-            pairs = grouped.join(pivots, "bucket").where("component <> home").select("c", "pivot")
+            pairs = grouped.join(pivots, "bucket").where("component <> home")
+            pairs = pairs.select(F.least("c", "pivot").alias("a"), F.greatest("c", "pivot").alias("b")).distinct()
+            found = _verify(pairs, classes, texts, width, similarity, n_places)
         else:
-            pairs = _pairs_across(grouped, classes, bands, places, similarity)
-        pairs = pairs.select(F.least("c", "pivot").alias("a"), F.greatest("c", "pivot").alias("b")).distinct()
-        found = materialise(_verify(pairs, classes, texts, width, similarity, n_places), "minhash-links")
+            found = _links_across(grouped, classes, texts, bands, places, width, similarity)
+        found = materialise(found, "minhash-links")
+        used.append(found)
         links = found if links is None else links.unionByName(found)
-        tree = materialise(components(links), "minhash-tree")
+        before, tree = tree, materialise(components(links), "minhash-tree")
+        forget(*(x for x in (before, split) if x is not None))
     named = classes.select("c", "key", "low").join(tree.withColumnRenamed("id", "c"), "c", "left")
     named = materialise(named.select("key", "low", F.coalesce("component", "c").alias("component")), "minhash-named")
+    forget(classes, tree, *used)
     lowest = named.groupBy("component").agg(
         F.min("low").alias("class_id"),
         F.min(F.struct(F.col("low").isNull(), F.col("low"), F.col("key"))).getField("key").alias("first_key"),

@@ -29,7 +29,7 @@ FEATURES = 16
 
 def statistics(words: Words, powers: Powers, kinds: np.ndarray) -> np.ndarray:
     """(rows, FEATURES) transformed statistics: logs of sizes, logits of shares smoothed by one; finite for empty texts too."""
-    hashes = words.hashes(powers)
+    hashes = words.hashes()
     n = np.diff(words.first).astype(float)
     size = np.diff(words.offsets).astype(float)
     counts = textstats.class_counts(words, kinds).astype(float)

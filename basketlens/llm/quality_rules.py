@@ -77,11 +77,10 @@ def _margins(parts: list[tuple[np.ndarray, np.ndarray]], weights: np.ndarray) ->
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(y, text) -> (y, buckets, values) of training rows."""
-    powers = Powers()
     for batch in batches:
         for piece in slices(batch, "text"):
             words = Words(piece.column("text"))
-            parts = buckets(words, words.hashes(powers))
+            parts = buckets(words, words.hashes())
             n = piece.num_rows
             keys, values = [], []
             for row in range(n):
@@ -154,7 +153,7 @@ def measure(docs: DataFrame, weights: np.ndarray) -> DataFrame:
         for batch in batches:
             for piece in slices(batch, "text"):
                 words = Words(piece.column("text"))
-                hashes = words.hashes(powers)
+                hashes = words.hashes()
                 _, again = textstats.line_counts(words)
                 yield pa.record_batch(
                     [

@@ -13,7 +13,9 @@ once, their surroundings (all windows that an anchor stands for): where these
 are equal too, all of the windows are repeats. Only where surroundings of an
 anchor differ, windows are spelt out, once for each kind of surroundings, as
 128-bit names, and counted in turn. The words under a window that occurs more
-than once go. Windows inside long runs have no anchor and are always spelt out.
+than once go. Surroundings and the second half of a window's name are built on
+other hashes of the words than anchors and its first half, so what one hash
+took for equal another one verifies. Windows inside long runs have no anchor and are always spelt out.
 """
 
 from __future__ import annotations
@@ -101,7 +103,7 @@ class _Rows:
 
     def __init__(self, column: pa.Array, powers: Powers, window: int, levels: int):
         self.words = Words(column)
-        self.names = self.words.hashes(powers)
+        self.names = self.words.hashes()
         self.rows = self.words.rows()
         self.ends = self.words.first[1:][self.rows]
         self.start, self.anchor = anchors(self.names, self.rows, self.ends, window, levels)
@@ -114,7 +116,7 @@ class _Rows:
 
 def _find(window: int, levels: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
+        powers, second = Powers(), Powers(_BASE_2)
         for batch in batches:
             for piece in slices(batch, "text"):
                 x = _Rows(piece.column("text"), powers, window, levels)
@@ -122,7 +124,7 @@ def _find(window: int, levels: int):
                 # The windows of an anchor are neighbours.
                 at, first, n = np.unique(x.anchor[has], return_index=True, return_counts=True)
                 start = x.start[has][first]
-                near = powers.spans(x.names, start, start + n - 1 + window)
+                near = second.spans(x.words.hashes(1), start, start + n - 1 + window)
                 near = mix(near + mix((at - start).astype(np.uint64)))
                 free = np.unique(x.rows[x.start[~has]])
                 row = np.concatenate([x.rows[at], free])
@@ -158,7 +160,8 @@ def _spell(window: int, levels: int):
                 weight[x.words.first[row[real]] + place[real]] = asked.field("weight").to_numpy()[real]
                 weight = np.where(x.anchor < 0, 1, weight[x.anchor])
                 chosen = x.start[weight > 0]
-                one, two = (window_hashes(x.names, window, p)[chosen] for p in (powers, second))
+                one = window_hashes(x.names, window, powers)[chosen]
+                two = window_hashes(x.words.hashes(1), window, second)[chosen]
                 row = x.rows[chosen]
                 take = pa.array(row)
                 yield pa.record_batch(

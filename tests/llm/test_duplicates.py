@@ -17,6 +17,8 @@ def shingles(text):
 
 
 def like(a, b):
+    if max(a.values()) == max(b.values()) == 1:
+        return len(a.keys() & b.keys()) / len(a.keys() | b.keys())
     return sum(1 / sum(max(a[d] / a[x], b[d] / b[x]) for d in a.keys() | b.keys()) for x in a.keys() & b.keys())
 
 
@@ -167,13 +169,113 @@ def test_all_pairs_are_compared_where_the_descent_fails(spark, monkeypatch):
     assert ordered(r[:3] for r in embedding_dedup.near_vectors(frame).collect()) == ordered(brute_links(x))
 
 
-def test_pipeline_stages(spark, docs):
+def thue_morse(letters, n):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_polynomials_confuse(spark):
+    import pyarrow as pa
+
+    from basketlens.llm.common import Words
+
+    words = [thue_morse(x, n) for x in ("ab", "ba") for n in (1024, 2048, 4096)] + ["ab", "ba", "a", "aa", "\0", "\0\0"]
+    for lane in (0, 1):
+        assert len(set(Words(pa.array([" ".join(words)])).hashes(lane).tolist())) == len(words)
+    texts = [(i, w) for i, w in enumerate(words[:6])]
+    texts += [(10 + i, " ".join([f"w{k}" for k in range(9)] + [w])) for i, w in enumerate(words[:6])]
+    got = minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert ordered(r[:2] for r in got.select("doc_id", "class_id").collect()) == ordered(classes(texts))
+
+
+def mutants(n, words, changed, seed):
+    """Texts that share most words with one text, and are not similar enough to each other."""
+    draw = np.random.default_rng(seed)
+    base = [f"b{k}" for k in range(words)]
+    out = []
+    for i in range(n):
+        own = list(base)
+        for k in draw.choice(words // 5, changed, replace=False) * 5 + 2:
+            own[k] = f"m{i}x{k}"
+        out.append((i, " ".join(own)))
+    return out
+
+
+def test_mutants_give_fewer_links_than_texts(spark, monkeypatch):
+    rows = mutants(150, 400, 6, 2) + [(1000 + i, t + (f" end{i}" if i % 2 else "")) for i, t in mutants(40, 60, 2, 3)]
+    rows += [(2000 + i, (t + " ") * (1 + i % 2) + f"tail{i}") for i, t in mutants(30, 50, 1, 4)]
+    found = []
+    across = minhash._links_across
+    monkeypatch.setattr(minhash, "_links_across", lambda *a: found.append(across(*a)) or found[0])
+    monkeypatch.setattr(minhash, "PIVOT_ROUNDS", 1)
+    monkeypatch.setattr(minhash, "TILE", 64)
+    monkeypatch.setattr(minhash, "forget", lambda *a: None)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert ordered(r[:2] for r in got.select("doc_id", "class_id").collect()) == ordered(classes(rows))
+    shared = 25 * (2 + len(rows) // 64)  # the tiles that a text can stand in
+    assert found and found[0].count() < len(rows) * shared / 10
+
+
+def windows_kept(rows, width=35):
+    """The words that stay of each text, by counting all windows."""
+    split = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
+    count = collections.Counter(tuple(w[i : i + width]) for w in split for i in range(len(w) - width + 1))
+    for (doc_id, text), w in zip(rows, split):
+        gone = {k for i in range(len(w) - width + 1) if count[tuple(w[i : i + width])] > 1 for k in range(i, i + width)}
+        yield doc_id, " ".join(x for k, x in enumerate(w) if k not in gone) if gone else text
+
+
+def test_pipeline_stages(spark, docs, labels):
     import corpus_pipeline
 
-    kept = docs
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        before = {r.doc_id for r in kept.collect()}
-        kept = corpus_pipeline.materialise(stage(spark, kept, SF), "test-stage")
-        assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} <= before
-    packed = corpus_pipeline.STAGES[-1][1](spark, kept, SF)
-    assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in kept.collect()}
+    from basketlens.llm import packing, quality_qda, toxicity
+    from basketlens.llm.queries import vocabulary
+
+    given = {}
+    frame = docs
+    for name, stage in corpus_pipeline.STAGES:
+        given[name] = frame
+        frame = corpus_pipeline.materialise(stage(spark, frame, SF), "test-stage")
+    texts = lambda f: ordered((r.doc_id, r.text) for r in f.collect())
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    results = dict(zip(names, [*(given[n] for n in names[1:]), frame]))
+    for name in names[:-1]:
+        assert results[name].columns == docs.columns
+    for name, scores, passes in (
+        ("toxicity", toxicity.score, lambda r: r.score < 0.5),
+        ("quality", quality_qda.score, lambda r: r.score >= 0.3),
+    ):
+        good = {r.doc_id for r in scores(given[name], labels).collect() if passes(r)}
+        assert 0 < len(good) <= given[name].count()
+        assert texts(results[name]) == ordered((r.doc_id, r.text) for r in given[name].collect() if r.doc_id in good)
+    rows = [(r.doc_id, r.text) for r in given["near duplicates"].collect()]
+    firsts = {c for _, c in classes(rows)}
+    assert texts(results["near duplicates"]) == ordered(r for r in rows if r[0] in firsts)
+    rows = [(r.doc_id, r.text) for r in given["repeated passages"].collect()]
+    assert texts(results["repeated passages"]) == ordered(windows_kept(rows))
+    plain = packing.Chunks(vocabulary("word_bpe_49k.json"))
+    lengths = collections.Counter()
+    for r in frame.collect():
+        lengths[r.doc_id] += r.length
+    assert lengths == {r.doc_id: len(plain.whole(r.text or "")) + 1 for r in given["packing"].collect()}
+    places = collections.defaultdict(list)
+    for r in frame.collect():
+        places[r.sequence_id].append((r.offset, r.length))
+    assert all(sum(n for _, n in p) <= 4096 for p in places.values())
+    whole = corpus_pipeline.run(spark, SF)
+    assert ordered(tuple(r)[:6] for r in whole.collect()) == ordered(tuple(r)[:6] for r in frame.collect())
+
+
+def test_passages_with_words_that_polynomials_confuse(spark):
+    from basketlens.llm import substring_dedup
+
+    rows = []
+    for i, n in enumerate((1024, 2048)):
+        body = [f"p{i}w{k}" for k in range(40)]
+        for j, letters in enumerate(("ab", "ba")):
+            own = list(body)
+            own[20] = thue_morse(letters, n)
+            rows.append((10 * i + j, " ".join(own)))
+    rows += [(100, " ".join(f"q{k}" for k in range(50))), (101, "x " + " ".join(f"q{k}" for k in range(50)))]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert ordered((r.doc_id, r.kept) for r in got) == ordered(windows_kept(rows))
+    assert {r.doc_id: r.n_removed for r in got if r.n_removed} == {100: 50, 101: 50}
