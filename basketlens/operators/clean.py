@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from basketlens.constants import CTR_CATEGORICAL, CTR_NUMERIC, EVENT_TYPES, MISSING_CATEGORY, UNKNOWN
 from basketlens.functions.rules import stable_bucket
+from basketlens.operators.quantiles import exact_quantile
 
 # The zone suffix and time pattern of export files.
 ZONE_SUFFIX = " UTC$"
@@ -122,10 +123,13 @@ def fill_zero(rows: DataFrame) -> DataFrame:
     return rows.na.fill(fills)
 
 
-def fill_median(rows: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    """Missing numerics become the column's median, all found in one pass."""
+def fill_median(rows: DataFrame, accuracy: int = 10_000, exact: bool = False) -> DataFrame:
+    """Missing numerics become the column's median, all found in the same passes: one, or a few for the exact ones."""
     names = [name for name in CTR_NUMERIC if name in rows.columns]
-    medians = rows.agg(*[F.percentile_approx(name, 0.5, accuracy).alias(name) for name in names]).first().asDict()
+    if exact:
+        medians = exact_quantile(rows, names)
+    else:
+        medians = rows.agg(*[F.percentile_approx(name, 0.5, accuracy).alias(name) for name in names]).first().asDict()
     fills: dict = {name: value for name, value in medians.items() if value is not None}
     fills.update({name: MISSING_CATEGORY for name in CTR_CATEGORICAL if name in rows.columns})
     return rows.na.fill(fills)

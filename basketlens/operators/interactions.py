@@ -47,6 +47,16 @@ def popular_items(matrix: DataFrame, k: int = 10) -> DataFrame:
     return ranked.select((F.col("rank") + 1).alias("rank"), F.col("item.product_id").alias("product_id"))
 
 
+def unseen_popular(matrix: DataFrame, k: int = 10, pool: int = 100) -> DataFrame:
+    """(user_id, product_id, rank): of the ``pool`` most popular products the first ``k`` a user has no rating of."""
+    ranked = popular_items(matrix, pool).agg(F.array_sort(F.collect_list(F.struct("rank", "product_id"))))
+    users = matrix.select("user_id").distinct()
+    offered = users.select("user_id", F.explode(ranked.scalar()).alias("_o")).select("user_id", "_o.product_id", F.col("_o.rank").alias("_place"))
+    fresh = offered.join(matrix.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti")
+    order = Window.partitionBy("user_id").orderBy("_place")
+    return fresh.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("_place")
+
+
 def user_item_lists(matrix: DataFrame, block: int = ITEM_BLOCK) -> DataFrame:
     """Sorted items of each user, one row per block of the id range.
 

@@ -16,7 +16,7 @@ RAW = """raw AS (
     e.value AS price, e.user_id,
     CAST(e.user_id AS VARCHAR) || '_' || strftime(e.ts, '%Y%m%d') AS user_session, e.k
   FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k FROM events) e
-  JOIN part p ON p.p_partkey = (e.event_id * 7919) % 200)"""
+  JOIN part p ON p.p_partkey = (e.event_id * 7919) % (SELECT count(*) FROM part))"""
 
 EV = (
     RAW
@@ -178,8 +178,11 @@ _NUM = {
 CLICKS = (
     "cl AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label, "
     + ", ".join(f"CAST({rule} AS DOUBLE) AS {name}" for name, rule in _NUM.items())
-    + ", sha256('1_' || l_suppkey) AS C1, sha256('2_' || l_suppkey) AS C2, l_linenumber AS day FROM lineitem)"
+    + ", "
+    + ", ".join(f"sha256('{i}_' || l_suppkey) AS C{i}" for i in range(1, 27))
+    + ", l_linenumber AS day FROM lineitem)"
 )
+_CATS = ", ".join(f"C{i}" for i in range(1, 27))
 
 
 def cl(body: str) -> str:
@@ -215,7 +218,10 @@ _O["feature_histograms"] = cl(
     )
 )
 _O["ctr_filled"] = cl(
-    "SELECT label, " + ", ".join(f"coalesce({name}, 0) AS {name}" for name in _NUM) + ", C1, C2, day FROM cl"
+    "SELECT label, " + ", ".join(f"coalesce({name}, 0) AS {name}" for name in _NUM) + f", {_CATS}, day FROM cl"
+)
+_O["ctr_median_filled"] = cl(
+    "SELECT label, " + ", ".join(f"coalesce({name}, (SELECT median({name}) FROM cl)) AS {name}" for name in _NUM) + f", {_CATS}, day FROM cl"
 )
 _LIFT = "coalesce(I1, 0) * 0.002::DOUBLE + coalesce(I2, 0) * 0.0005::DOUBLE + coalesce(I3, 0) * 0.001::DOUBLE + coalesce(I5, 0) * (-0.001)::DOUBLE"
 _O["ctr_demo_score"] = cl(f"""SELECT I1, I2, I3, I5, p AS click_probability, CAST(p >= 0.5 AS INTEGER) AS prediction
@@ -335,9 +341,9 @@ us AS (SELECT user_id, count(*) AS n, count(top.product_id) AS hits FROM te LEFT
 _O["ranking_eval"] = with_ev(
     SPLIT
     + """, po AS (SELECT product_id, sum(rating) AS total FROM tr GROUP BY product_id),
-rk AS (SELECT user_id, (product_id + 1) % 200 AS product_id,
-  row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, total DESC, product_id) AS rank FROM tr JOIN po USING (product_id)
-  QUALIFY rank <= 10),
+pool AS (SELECT product_id, row_number() OVER (ORDER BY total DESC, product_id) AS place FROM po QUALIFY place <= 100),
+rk AS (SELECT user_id, product_id, row_number() OVER (PARTITION BY user_id ORDER BY place) AS rank
+  FROM (SELECT DISTINCT user_id FROM tr) u CROSS JOIN pool ANTI JOIN tr USING (user_id, product_id) QUALIFY rank <= 10),
 an AS (SELECT user_id, count(*) AS n_actual FROM te GROUP BY user_id),
 us AS (SELECT user_id, count(*) AS n_rec, count(te.product_id) AS hits,
   sum(CASE WHEN te.product_id IS NOT NULL THEN 1 / log2(rank + 1) ELSE 0 END) AS gain

@@ -161,7 +161,8 @@ _over_clicks(
     lambda c: clicks.label_correlation(c).withColumn("correlation", F.round("correlation", 6)),
 )
 _over_clicks("feature_histograms", clicks.feature_histograms)
-_over_clicks("ctr_filled", lambda c: clean.fill_zero(c).select("label", *CTR_NUMERIC, *CTR_CATEGORICAL[:2], "day"))
+_over_clicks("ctr_filled", lambda c: clean.fill_zero(c).select("label", *CTR_NUMERIC, *CTR_CATEGORICAL, "day"))
+_over_clicks("ctr_median_filled", lambda c: clean.fill_median(c, exact=True).select("label", *CTR_NUMERIC, *CTR_CATEGORICAL, "day"))
 _over_clicks("ctr_demo_score", lambda c: lookup.demo_score_answer(c.select("I1", "I2", "I3", "I5")))
 
 
@@ -207,18 +208,9 @@ def popularity_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ranking_eval")
 def ranking_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ranking metrics of a per-user list: each user's strongest training items."""
-    from pyspark.sql import Window
-
-    matrix = interactions.interaction_matrix(testbed.shop_events(spark, sf_dir))
-    train, test = recommend.split(matrix)
-    popular = interactions.popularity(train).select("product_id", "total_rating")
-    order = Window.partitionBy("user_id").orderBy(F.desc("rating"), F.desc("total_rating"), "product_id")
-    ranked = train.join(popular, "product_id").withColumn("rank", F.row_number().over(order)).filter("rank <= 10")
-    # Shifted by one product, as a pair is never in both halves of the split.
-    shifted = ranked.select("user_id", F.pmod(F.col("product_id") + 1, F.lit(200)).alias("product_id"), "rank")
-    distinct = shifted.groupBy("user_id", "product_id").agg(F.min("rank").alias("rank"))
-    return interactions.ranking_metrics(distinct, test, "user_id", "product_id")
+    """Ranking metrics of the popular items that a user has not met in training."""
+    train, test = recommend.split(interactions.interaction_matrix(testbed.shop_events(spark, sf_dir)))
+    return interactions.ranking_metrics(interactions.unseen_popular(train), test, "user_id", "product_id")
 
 
 # ------------------------------------------------------------------- sessions

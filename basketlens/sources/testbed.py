@@ -1,7 +1,6 @@
 """The driver's star-schema tables seen as shop events, click rows and live events.
 
-The mapping is fixed in FIXTURES.md; product ids cover the 200 parts that
-exist at every scale.
+The mapping is fixed in FIXTURES.md; product ids cover all parts of the scale.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from basketlens.operators.clean import clean_events
 
 # Fixed values of the mapping.
 TYPE_MAP = {"view": VIEW, "click": VIEW, "signup": CART, "purchase": PURCHASE}
-PRODUCTS, PRODUCT_STEP = 200, 7919
+PRODUCT_STEP = 7919
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,11 +26,12 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     for source, target in TYPE_MAP.items():
         kind = F.when(F.col("event_type") == source, target).otherwise(kind)
+    parts = table(spark, sf_dir, "part").agg(F.count("*")).scalar()
     events = table(spark, sf_dir, "events").select(
         "event_id",
         F.col("ts").alias("event_time"),
         kind.alias("event_type"),
-        F.pmod(F.col("event_id") * PRODUCT_STEP, F.lit(PRODUCTS)).alias("product_id"),
+        F.pmod(F.col("event_id") * PRODUCT_STEP, parts).alias("product_id"),
         k.alias("k"),
         F.col("value").alias("price"),
         "user_id",
