@@ -1,18 +1,18 @@
-"""Exact nearest items by cosine similarity.
+"""Nearest items by cosine similarity: exact, or through an inverted-file index whose recall is audited.
 
-Unit vectors are sorted into cells around a bounded set of pivots. The
-triangle inequality tells for each request which cells can hold one of its
-``k`` nearest items; only those are searched, with one matrix product per
-pair of a request block and an item block. No candidate is dropped: a cell is
-skipped only when its bound proves that it cannot contribute.
+Both forms run on a grid of groups, blocks of requests and strips of items. A
+vector is shipped once a block of its group, not once a request; a task holds
+one block with its best items so far and reads a strip in slices, so it gives
+at most ``k`` rows a request, however many items tie.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,13 +20,14 @@ from pyspark.sql import types as T
 from basketlens.operators.metrics import rows
 from basketlens.session import materialise
 
-# Pivots (collected and shipped to every task) and rows per matrix block.
-MAX_PIVOTS = 256
-BLOCK_ROWS = 1024
-# Slack on distance bounds against floating-point error.
-SLACK = 1e-6
-# Similarities are compared at this precision, below which products of equal vectors may differ.
+#: Requests of a block, fewest items of a strip, pairs scored at once.
+BLOCK, STRIP, PAIRS = 4096, 4096, 1 << 20
+#: Similarities are compared at this precision, below which products of equal vectors may differ.
 SCORE_DIGITS = 12
+#: Most cells of an index, vectors a cell is fitted on, and rounds of fitting.
+CELLS, SAMPLE, ROUNDS = 1024, 64, 8
+#: Requests of an audit, cells first probed, and the share of neighbours that must be found.
+AUDIT, PROBES, RECALL = 256, 4, 0.95
 
 
 def unit_vectors(vectors: DataFrame, item: str, vector: str) -> DataFrame:
@@ -43,110 +44,199 @@ def nearest_items(
     k: int = 10,
     item: str = "item",
     vector: str = "vector",
-    pivots: int = MAX_PIVOTS,
-    block_rows: int = BLOCK_ROWS,
+    block: int = BLOCK,
+    strip: int = STRIP,
 ) -> DataFrame:
-    """The ``k`` most similar other items of each requested item.
+    """The ``k`` most similar other items of each requested item, by all similarities.
 
     ``requests`` holds item ids in column ``item``. Returns
     (item, neighbour, similarity, rank); ties go to the smaller id.
     """
-    spark = vectors.sparkSession
     units = materialise(unit_vectors(vectors, item, vector), "units")
-    sample = units.orderBy(F.xxhash64("item"), "item").limit(min(pivots, MAX_PIVOTS)).collect()
-    if not sample:
-        return _empty(units)
-    centres = np.array([row["unit"] for row in sample])
-
-    @F.pandas_udf("cell int, distance double")
-    def locate(column: pd.Series) -> pd.DataFrame:
-        distances = _distances(np.stack(column.to_numpy()), centres)
-        cell = distances.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "distance": distances[np.arange(len(cell)), cell]})
-
-    located = materialise(units.select("item", "unit", locate("unit").alias("at")).select("item", "unit", "at.*"), "cells")
-    found = located.groupBy("cell").agg(F.max("distance").alias("radius"), rows().alias("n")).collect()
-    cells = np.array([row["cell"] for row in found])
-    radius = np.array([row["radius"] for row in found])
-    sizes = np.array([row["n"] for row in found])
-
-    @F.pandas_udf("array<int>")
-    def reachable(column: pd.Series) -> pd.Series:
-        distances = _distances(np.stack(column.to_numpy()), centres[cells])
-        worst = distances + radius
-        order = worst.argsort(axis=1)
-        # k others lie within the first bound that covers k + 1 items, the request among them.
-        covered = sizes[order].cumsum(axis=1) >= min(k + 1, sizes.sum())
-        bound = np.take_along_axis(worst, order, axis=1)[np.arange(len(order)), covered.argmax(axis=1)]
-        reach = distances - radius <= bound[:, None] + SLACK
-        return pd.Series([cells[hit].tolist() for hit in reach])
-
     wanted = units.join(requests.select(F.col(item).alias("item")).distinct(), "item", "left_semi")
-    total = wanted.count()
-    questions = wanted.select("item", "unit", F.explode(reachable("unit")).alias("cell"))
-    question_blocks = _blocks(questions, F.lit(_block_count(total, block_rows)), "q")
-    per_cell = F.element_at(
-        F.create_map(*[F.lit(int(v)) for c, n in zip(cells, sizes) for v in (c, _block_count(n, block_rows))]),
-        F.col("cell"),
-    )
-    pairs = question_blocks.join(_blocks(located, per_cell, "x"), "cell")
-
-    id_type = units.schema["item"].dataType
-    answer = T.StructType(
-        [
-            T.StructField("item", id_type),
-            T.StructField("neighbour", id_type),
-            T.StructField("similarity", T.DoubleType()),
-        ]
-    )
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                yield _best(row, k)
-
-    best = pairs.select("q_items", "q_units", "x_items", "x_units").mapInPandas(search, answer)
-    by_score = Window.partitionBy("item").orderBy(F.desc("similarity"), "neighbour")
-    ranked = best.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)
-    return ranked.select(F.col("item"), "neighbour", "similarity", "rank")
-
+    return _all_pairs(units, wanted, k, block, strip)
 
-def _empty(units: DataFrame) -> DataFrame:
-    return units.select(
-        "item", F.col("item").alias("neighbour"), F.lit(0.0).alias("similarity"), F.lit(0).alias("rank")
-    ).limit(0)
 
+def _all_pairs(units: DataFrame, wanted: DataFrame, k: int, block: int = BLOCK, strip: int = STRIP) -> DataFrame:
+    total, asked = units.count(), wanted.count()
+    one = F.lit(0).alias("cell")
+    sizes = units.sparkSession.createDataFrame([(0, _parts(asked, block), _strips(total, strip))], "cell int, blocks int, strips int")
+    return _ranked(_searched(units.select("*", one), wanted.select("*", one), sizes, k), k)
 
-def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    squares = (points**2).sum(axis=1)[:, None] + (centres**2).sum(axis=1)[None, :] - 2 * points @ centres.T
-    return np.sqrt(np.maximum(squares, 0.0))
 
+class ItemIndex:
+    """An inverted file: vectors by the nearest of up to ``CELLS`` centres.
 
-def _block_count(n: int, block_rows: int) -> int:
-    return max(1, -(-int(n) // block_rows))
-
-
-def _blocks(frame: DataFrame, count, prefix: str) -> DataFrame:
-    """Rows of a cell packed into evenly filled blocks of about ``block_rows``."""
-    packed = F.collect_list(F.struct("item", "unit"))
-    blocks = frame.groupBy("cell", F.pmod(F.xxhash64("item"), count).alias("_block")).agg(packed.alias("_rows"))
-    return blocks.select("cell", F.col("_rows.item").alias(f"{prefix}_items"), F.col("_rows.unit").alias(f"{prefix}_units"))
-
-
-def _best(row, k: int) -> pd.DataFrame:
-    """Top ``k`` of one item block for every request of one request block.
+    Centres are fitted on at most ``SAMPLE`` vectors a cell, those of smallest
+    hash; every vector is filed. A request searches the cells of its nearest
+    centres. How many is settled by an audit: sampled requests are also answered
+    by all similarities, and the probes are doubled until ``RECALL`` of their
+    neighbours are found, at worst until all cells are probed, which is exact.
+    """
 
-    Items are in id order and the sort is stable, so equal scores (copies of
-    one vector) go to the smaller ids and never emit more than ``k`` rows.
+    def __init__(self, vectors: DataFrame, item: str = "item", vector: str = "vector", cells: int | None = None):
+        self.units = materialise(unit_vectors(vectors, item, vector), "units")
+        self.name = item
+        total = self.units.count()
+        wanted = min(CELLS, max(1, math.isqrt(total))) if cells is None else cells
+        sample = self.units.orderBy(F.xxhash64("item"), "item").select("unit").limit(wanted * SAMPLE).collect()
+        self.centres = _fitted(np.array([r[0] for r in sample]), wanted) if sample else np.zeros((0, 1))
+        self.filed = materialise(self._cells(self.units, 1), "filed")
+        self.recall: float | None = None
+        self.probes = min(PROBES, len(self.centres))
+
+    def _cells(self, units: DataFrame, probes: int) -> DataFrame:
+        """``units`` with the numbers of their nearest centres, one row each."""
+        centres = self.centres
+        schema = T.StructType([*units.schema.fields, T.StructField("cell", T.IntegerType())])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1024):
+                    part = batch.slice(at, 1024)
+                    near = _matrix(part.column("unit")) @ centres.T
+                    cell = (-near).argsort(1, kind="stable")[:, :probes]
+                    take = pa.array(np.repeat(np.arange(part.num_rows), cell.shape[1]))
+                    yield pa.record_batch([*(c.take(take) for c in part.columns), pa.array(cell.ravel().astype(np.int32))], names=schema.fieldNames())
+
+        return units.select("item", "unit").mapInArrow(run, schema) if len(centres) else units.select("*", F.lit(0).alias("cell")).limit(0)
+
+    def _search(self, wanted: DataFrame, k: int, probes: int, block: int, strip: int) -> DataFrame:
+        asked = materialise(self._cells(wanted, probes), "probes")
+        items = self.filed.groupBy("cell").agg(rows().alias("n"))
+        sizes = items.join(asked.groupBy("cell").agg(rows().alias("m")), "cell").select(
+            "cell", F.ceil(F.col("m") / block).cast("int").alias("blocks"), F.ceil(F.col("n") / strip).cast("int").alias("strips")
+        )
+        return _ranked(_searched(self.filed, asked, sizes, k), k)
+
+    def audit(self, k: int = 10, least: float = RECALL, block: int = BLOCK, strip: int = STRIP) -> float:
+        """Settle ``probes``; the recall that the sampled requests reach, 1 without vectors."""
+        sample = materialise(self.units.orderBy(F.xxhash64(F.lit(1), "item"), "item").limit(AUDIT), "audit")
+        truth = materialise(_all_pairs(self.units, sample, k, block, strip), "truth")
+        self.recall = 1.0
+        while len(self.centres):
+            found = self._search(sample, k, self.probes, block, strip)
+            hits = found.join(truth, ["item", "neighbour"], "left_semi").count()
+            self.recall = hits / max(1, truth.count())
+            if self.recall >= least or self.probes == len(self.centres):
+                break
+            self.probes = min(2 * self.probes, len(self.centres))
+        return self.recall
+
+    def nearest(self, requests: DataFrame, k: int = 10, block: int = BLOCK, strip: int = STRIP) -> DataFrame:
+        """As ``nearest_items``, over the probed cells only; audited first, if it wasn't."""
+        if self.recall is None:
+            self.audit(k)
+        wanted = self.units.join(requests.select(F.col(self.name).alias("item")).distinct(), "item", "left_semi")
+        return self._search(wanted, k, self.probes, block, strip)
+
+
+def _fitted(sample: np.ndarray, cells: int) -> np.ndarray:
+    """Unit centres by rounds of assigning and averaging; an empty cell takes the vector farthest from its centre."""
+    centres = sample[:: max(1, len(sample) // cells)][:cells].copy()
+    for _ in range(ROUNDS):
+        near = sample @ centres.T
+        cell = near.argmax(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, cell, sample)
+        empty = np.flatnonzero(np.bincount(cell, minlength=len(centres)) == 0)
+        sums[empty] = sample[near.max(1).argsort(kind="stable")[: len(empty)]]
+        size = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(size > 0, sums / np.where(size > 0, size, 1), centres)
+    return centres
+
+
+def _parts(n: int, size: int) -> int:
+    return max(1, -(-int(n) // size))
+
+
+def _strips(n: int, strip: int) -> int:
+    """Strips grow with the root of the items, so that finds of all strips stay far fewer than pairs."""
+    return _parts(n, max(strip, 32 * math.isqrt(n) if strip == STRIP else strip))
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _searched(items: DataFrame, asked: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
+    """The best items (item, neighbour, similarity) of each request in each strip of the cells it asks.
+
+    ``sizes`` has the blocks of requests and strips of items of every cell, so a
+    cell that holds most items, or that most requests ask, is many tasks' work.
     """
-    asked, offered = np.asarray(row.q_items), np.asarray(row.x_items)
-    by_id = offered.argsort(kind="stable")
-    offered = offered[by_id]
-    scores = np.round(np.stack(row.q_units) @ np.stack(row.x_units)[by_id].T, SCORE_DIGITS)
-    scores[asked[:, None] == offered[None, :]] = -np.inf
-    top = (-scores).argsort(axis=1, kind="stable")[:, :k]
-    best = np.take_along_axis(scores, top, axis=1)
-    request, place = np.nonzero(np.isfinite(best))
-    return pd.DataFrame(
-        {"item": asked[request], "neighbour": offered[top[request, place]], "similarity": best[request, place]}
+    part = F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int")
+    strip = F.pmod(F.xxhash64(F.lit(7), "item"), F.col("strips")).cast("int")
+    left = asked.join(sizes, "cell").select(
+        "cell", part.alias("block"), F.explode(F.expr("sequence(0, strips - 1)")).alias("strip"), F.lit(True).alias("asks"), "item", "unit"
+    )
+    right = items.join(sizes, "cell").select(
+        "cell", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), strip.alias("strip"), F.lit(False).alias("asks"), "item", "unit"
     )
+    tasks = sizes.agg(F.sum(F.col("blocks").cast("long") * F.col("strips"))).first()[0] or 1
+    dealt = left.unionByName(right).repartition(min(2 * tasks, 10_000), "cell", "block", "strip")
+    ordered = dealt.sortWithinPartitions("cell", "block", "strip", F.desc("asks"), "item")
+    kind = items.schema["item"].dataType
+    answer = T.StructType([T.StructField("item", kind), T.StructField("neighbour", kind), T.StructField("similarity", T.DoubleType())])
+    return ordered.mapInArrow(_streamed(k), answer)
+
+
+def _streamed(k: int) -> Callable:
+    """Requests of a grid cell come first, its items after them in order of their ids."""
+
+    class Block:
+        def __init__(self, batches: list[pa.RecordBatch]):
+            self.asked = pa.chunked_array([b.column("item") for b in batches]).combine_chunks()
+            self.names = self.asked.to_numpy(zero_copy_only=False)
+            self.units = np.concatenate([_matrix(b.column("unit")) for b in batches])
+            self.score = np.full((len(self.names), k), -np.inf)
+            self.found = np.zeros((len(self.names), k), self.names.dtype)
+
+        def meet(self, batch: pa.RecordBatch) -> None:
+            step = max(1, PAIRS // len(self.names))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                offered = part.column("item").to_numpy(zero_copy_only=False)
+                scores = np.round(self.units @ _matrix(part.column("unit")).T, SCORE_DIGITS)
+                scores[self.names[:, None] == offered[None]] = -np.inf
+                some = np.flatnonzero(scores.max(1) > self.score[:, -1])  # later items with equal scores have larger ids
+                if not len(some):
+                    continue
+                both = np.concatenate([self.score[some], scores[some]], 1)
+                ids = np.concatenate([self.found[some], np.broadcast_to(offered, (len(some), len(offered)))], 1)
+                top = (-both).argsort(1, kind="stable")[:, :k]
+                self.score[some], self.found[some] = np.take_along_axis(both, top, 1), np.take_along_axis(ids, top, 1)
+
+        def table(self) -> pa.RecordBatch:
+            request, place = np.nonzero(np.isfinite(self.score))
+            near = pa.array(self.found[request, place], self.asked.type)
+            return pa.record_batch([self.asked.take(pa.array(request)), near, pa.array(self.score[request, place])], names=["item", "neighbour", "similarity"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, waiting, block = None, [], None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "block", "strip", "asks")], 1)
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if start == end:
+                    continue
+                here, part = tuple(keys[start, :3]), batch.slice(start, end - start)
+                if here != key:
+                    if block is not None:
+                        yield block.table()
+                    key, waiting, block = here, [], None
+                if keys[start, 3]:
+                    waiting.append(part)
+                elif waiting or block is not None:
+                    if block is None:
+                        block, waiting = Block(waiting), []
+                    block.meet(part)
+        if block is not None:
+            yield block.table()
+
+    return run
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    by_score = Window.partitionBy("item").orderBy(F.desc("similarity"), "neighbour")
+    return found.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)

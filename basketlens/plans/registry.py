@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from basketlens.constants import CART, CTR_CATEGORICAL, CTR_NUMERIC, EVENT_TYPES, PURCHASE, VIEW
 from basketlens.models import click, item2vec, recommend, segments
 from basketlens.operators import clean, clicks, interactions, live, lookup, metrics, profiles, quality, sessions, tables, windows
-from basketlens.operators.neighbours import nearest_items
+from basketlens.operators.neighbours import ItemIndex, nearest_items
 from basketlens.session import materialise, scratch_path
 from basketlens.sources import testbed
 from basketlens.sources.files import union_sources
@@ -424,6 +424,21 @@ def segment_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.segment_answer(requests, assigned)
 
 
+@query("similar_items_indexed")
+def similar_items_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the index gives for all vectors, against all similarities: answers, and whether recall and similarities hold."""
+    vectors = testbed.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("item"), F.col("embedding").alias("vector"))
+    found = ItemIndex(vectors).nearest(vectors, 10)
+    truth = nearest_items(vectors, vectors, 10).select("item", "neighbour", F.col("similarity").alias("exact"))
+    both = found.join(truth, ["item", "neighbour"], "left")
+    return both.agg(
+        F.count_distinct("item").alias("requests"),
+        F.count("*").alias("answers"),
+        (F.count("exact") >= 0.9 * F.count("*")).alias("recall_reached"),
+        F.coalesce(F.max(F.abs(F.col("similarity") - F.col("exact"))) < 1e-9, F.lit(True)).alias("similarities_agree"),
+    )
+
+
 @query("similar_items")
 def similar_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest items of every item of the embedding table."""

@@ -1,7 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from basketlens.operators.neighbours import nearest_items
+from basketlens.operators import neighbours
+from basketlens.operators.neighbours import ItemIndex, nearest_items
 
 
 def brute(ids, vectors, asked, k):
@@ -26,16 +28,16 @@ def run(spark, ids, vectors, asked, k, **options):
     return found
 
 
-@pytest.mark.parametrize("pivots, block", [(1, 1000), (7, 11), (64, 5)])
-def test_clustered_vectors_with_copies(spark, pivots, block):
-    rng = np.random.default_rng(pivots)
+@pytest.mark.parametrize("strip, block", [(1000, 1000), (70, 11), (30, 64)])
+def test_clustered_vectors_with_copies(spark, strip, block):
+    rng = np.random.default_rng(strip)
     centres = rng.normal(size=(6, 8))
     vectors = np.concatenate([centres[i % 6] + 0.05 * rng.normal(size=8) for i in range(200)]).reshape(200, 8)
     vectors[::3] = vectors[0]  # a third of all items are copies of one
     vectors[5] = 0.0
     ids = list(range(200))
     asked = ids[::4] + [5]
-    assert run(spark, ids, vectors, asked, 6, pivots=pivots, block_rows=block) == brute(ids, vectors, asked, 6)
+    assert run(spark, ids, vectors, asked, 6, strip=strip, block=block) == brute(ids, vectors, asked, 6)
 
 
 def test_string_ids_and_fewer_items_than_k(spark):
@@ -46,3 +48,53 @@ def test_string_ids_and_fewer_items_than_k(spark):
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "item long, vector array<double>")
     assert nearest_items(empty, empty.select("item")).count() == 0
+
+
+def clustered(spark, n, groups, dims=12, spread=0.1, seed=4):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(groups, dims))
+    vectors = centres[rng.integers(0, groups, n)] + spread * rng.normal(size=(n, dims))
+    vectors[: n // 3] = centres[0] + spread * rng.normal(size=(n // 3, dims))  # a third in one cell
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "item long, vector array<double>")
+
+
+def test_index_reaches_its_recall_without_all_cells(spark):
+    table = clustered(spark, 3000, 40)
+    index = ItemIndex(table, cells=48)
+    assert index.audit(5) >= 0.95 and index.probes < 48
+    found = index.nearest(table, 5, block=500, strip=300)
+    truth = nearest_items(table, table, 5)
+    hits = found.join(truth, ["item", "neighbour"], "left_semi").count()
+    assert truth.count() == 15000 and hits >= 0.93 * 15000
+    assert found.groupBy("item").count().filter("count > 5").isEmpty()
+
+
+def test_index_probes_all_cells_where_it_must(spark):
+    rng = np.random.default_rng(2)
+    table = spark.createDataFrame([(i, rng.normal(size=32).tolist()) for i in range(400)], "item long, vector array<double>")
+    index = ItemIndex(table, cells=8)
+    assert index.audit(10, least=1.0) == 1.0
+    by_rank = lambda f: sorted(tuple(r) for r in f.select("item", "rank", "neighbour").collect())
+    index.probes = 8
+    assert by_rank(index.nearest(table, 10)) == by_rank(nearest_items(table, table, 10))
+
+
+def test_index_of_nothing_and_of_one(spark):
+    empty = spark.createDataFrame([], "item long, vector array<double>")
+    assert ItemIndex(empty).nearest(empty).count() == 0
+    one = spark.createDataFrame([("a", [1.0, 2.0])], "item string, vector array<double>")
+    assert ItemIndex(one).nearest(one).count() == 0
+
+
+def test_a_vector_is_shipped_once_a_block(spark, monkeypatch):
+    table = clustered(spark, 600, 6)
+    units = neighbours.unit_vectors(table, "item", "vector").select("*", neighbours.F.lit(0).alias("cell"))
+    sizes = spark.createDataFrame([(0, 3, 4)], "cell int, blocks int, strips int")
+
+    def shipped(batch):
+        item = batch.column("item")
+        return pa.record_batch([item, item, batch.column("asks").cast("int8").cast("float64")], names=["item", "neighbour", "similarity"])
+
+    monkeypatch.setattr(neighbours, "_streamed", lambda k: lambda batches: map(shipped, batches))
+    sent = neighbours._searched(units, units.limit(60), sizes, 5)
+    assert sent.filter("similarity = 0").count() == 3 * 600 and sent.filter("similarity = 1").count() == 4 * 60
