@@ -38,6 +38,13 @@ _BLANK = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: No match of the pattern crosses the borders of these runs, except that a blank may lead a run.
 _RUN = f" ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"
 
+#: Fixed parts of the public splitting pattern: words, and marks, are pre-tokens of their own, with a blank before them.
+_WORDS, _MARKS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+|", r"| ?[^\s\p{L}\p{N}]+|"
+
+
+class _Stacked(Exception):
+    """A blank follows white space, or may: the text can't be cut at blanks."""
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes and ranks of a rank file."""
@@ -58,15 +65,29 @@ class Runs(dict):
 
         self.pieces = regex.compile(_own_pattern(pattern)).findall
         self.whole = re.compile(_RUN).findall
-        self.stacked = re.compile(f"[{_BLANK}] | $").search
+        self.plain = pattern.startswith(_WORDS) and _MARKS in pattern
         self.entries: dict[str, int] = {}
         self.first: dict[str, tuple[int, ...]] = {}
 
+    @staticmethod
+    def letters(word: str) -> bool:
+        """Latin letters only, on which all engines agree."""
+        return word.isalpha() and (word.isascii() or max(word) < "\u0250")
+
     def number(self, text: str) -> tuple[int, ...]:
         entries = self.entries
+        if self.plain:  # a word, or a word and a mark, needs no pattern
+            word = text[1:] if text[:1] == " " else text
+            if self.letters(word):
+                return (entries.setdefault(text, len(entries)),)
+            if word[-1:] in ".,;:!?" and self.letters(word[:-1]):
+                first = entries.setdefault(text[:-1], len(entries))
+                return first, entries.setdefault(word[-1], len(entries))
         return tuple([entries.setdefault(w, len(entries)) for w in self.pieces(text)])
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
+        if not piece or piece[-1] in _BLANK:  # so that no such piece is ever known
+            raise _Stacked
         found = self[piece] = self.number(" " + piece)
         return found
 
@@ -79,10 +100,13 @@ class Runs(dict):
         return np.fromiter(chain.from_iterable(self.found(text)), np.int32)
 
     def found(self, text: str) -> Iterator[tuple[int, ...]]:
-        if self.stacked(text):
-            return iter([self.first.get(r) or self.first.setdefault(r, self.number(r)) for r in self.whole(text)])
         head, *rest = text.split(" ")
-        return chain((self.number(head),), map(self.__getitem__, rest))
+        try:
+            if rest and head and head[-1] in _BLANK:
+                raise _Stacked
+            return chain((self.number(head),), list(map(self.__getitem__, rest)))
+        except _Stacked:
+            return iter([self.first.get(r) or self.first.setdefault(r, self.number(r)) for r in self.whole(text)])
 
     def learn(self, text: str) -> None:
         """Numbers the text's pre-tokens, in the same order."""
