@@ -227,6 +227,19 @@ _LIFT = "coalesce(I1, 0) * 0.002::DOUBLE + coalesce(I2, 0) * 0.0005::DOUBLE + co
 _O["ctr_demo_score"] = cl(f"""SELECT I1, I2, I3, I5, p AS click_probability, CAST(p >= 0.5 AS INTEGER) AS prediction
   FROM (SELECT I1, I2, I3, I5, CAST(round(CAST(greatest(0.0::DOUBLE, least(1.0::DOUBLE,
     0.48::DOUBLE + greatest(-0.04::DOUBLE, least(0.04::DOUBLE, {_LIFT})))) AS DECIMAL(20, 14)), 4) AS DOUBLE) AS p FROM cl)""")
+
+
+def _areas(scores: str) -> str:
+    return cl(f"""SELECT round(sum(neg * (2 * (tp - pos) + pos)) / (2.0::DOUBLE * max(np) * max(nn)), 6) AS auc_roc,
+  round(sum(pos * (CAST(tp AS DOUBLE) / (tp + fp) + CASE WHEN tp + fp > pos + neg THEN CAST(tp - pos AS DOUBLE) / (tp - pos + fp - neg)
+    ELSE CAST(tp AS DOUBLE) / (tp + fp) END) / 2) / max(np), 6) AS auc_pr
+  FROM (SELECT *, sum(pos) OVER (ORDER BY p DESC) AS tp, sum(neg) OVER (ORDER BY p DESC) AS fp, sum(pos) OVER () AS np, sum(neg) OVER () AS nn
+    FROM (SELECT p, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg FROM ({scores}) GROUP BY p))""")
+
+
+_O["ctr_demo_areas"] = _areas(f"""SELECT label, CAST(round(CAST(greatest(0.0::DOUBLE, least(1.0::DOUBLE,
+    0.48::DOUBLE + greatest(-0.04::DOUBLE, least(0.04::DOUBLE, {_LIFT})))) AS DECIMAL(20, 14)), 4) AS DOUBLE) AS p FROM cl""")
+_O["ctr_price_areas"] = _areas("SELECT label, I2 AS p FROM cl")
 _SLOT = [f"CAST(('0x' || substr(h{slot // 8}, {slot % 8 * 8 + 1}, 8)) AS BIGINT) / 4294967296.0::DOUBLE" for slot in range(15)]
 _O["ctr_synthetic"] = (
     "SELECT row_id, CAST(" + _SLOT[0] + " > 0.5 AS INTEGER) AS label, "

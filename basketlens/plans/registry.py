@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from basketlens.constants import CART, CTR_CATEGORICAL, CTR_NUMERIC, EVENT_TYPES, PURCHASE, VIEW
 from basketlens.models import click, item2vec, recommend, segments
 from basketlens.operators import clean, clicks, interactions, live, lookup, metrics, profiles, quality, sessions, tables, windows
+from basketlens.functions.rules import demo_click_probability
+from basketlens.operators.areas import ranking_areas
 from basketlens.operators.neighbours import ItemIndex, nearest_items
 from basketlens.session import materialise, scratch_path
 from basketlens.sources import testbed
@@ -163,6 +165,8 @@ _over_clicks(
 _over_clicks("feature_histograms", clicks.feature_histograms)
 _over_clicks("ctr_filled", lambda c: clean.fill_zero(c).select("label", *CTR_NUMERIC, *CTR_CATEGORICAL, "day"))
 _over_clicks("ctr_median_filled", lambda c: clean.fill_median(c, exact=True).select("label", *CTR_NUMERIC, *CTR_CATEGORICAL, "day"))
+_over_clicks("ctr_demo_areas", lambda c: ranking_areas(c.select("label", demo_click_probability().alias("score")), "label", "score"))
+_over_clicks("ctr_price_areas", lambda c: ranking_areas(c, "label", "I2"))
 _over_clicks("ctr_demo_score", lambda c: lookup.demo_score_answer(c.select("I1", "I2", "I3", "I5")))
 
 

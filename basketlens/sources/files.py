@@ -148,18 +148,20 @@ def read_live_json(spark: SparkSession, path: str, one_per_file: bool = True) ->
     return spark.read.schema(LIVE).option("multiLine", one_per_file).json(path)
 
 
+def newest_files(spark: SparkSession, path: str, limit: int) -> list[str]:
+    """Paths of the ``limit`` newest files below ``path`` by modification time, ties by path; no file is opened."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path).select("path", "modificationTime")
+    return [r.path for r in listed.orderBy(F.desc("modificationTime"), "path").limit(limit).collect()]
+
+
 def read_live_recent(spark: SparkSession, path: str, limit: int = 250) -> DataFrame:
-    """The newest ``limit`` files by modification time, typed."""
+    """The events of the newest ``limit`` files, typed; only those files are read."""
     from basketlens.operators.live import type_live
 
-    stamped = (
-        spark.read.schema(LIVE)
-        .option("multiLine", True)
-        .json(path)
-        .select("*", F.col("_metadata.file_modification_time").alias("landed_at"))
-    )
-    newest = stamped.orderBy(F.desc("landed_at"), F.desc("event_id")).limit(limit)
-    return type_live(newest)
+    chosen = newest_files(spark, path, limit)
+    reader = spark.read.schema(LIVE).option("multiLine", True).option("basePath", path)
+    found = reader.json(chosen).select("*", F.col("_metadata.file_modification_time").alias("landed_at")) if chosen else None
+    return type_live(spark.createDataFrame([], LIVE).withColumn("landed_at", F.lit(None).cast("timestamp")) if found is None else found)
 
 
 def write_summary(frame: DataFrame, path: str) -> None:

@@ -103,6 +103,18 @@ def test_live_json(spark, tmp_path):
     assert [r.event_id for r in files.read_live_recent(spark, str(tmp_path), 1).collect()] == ["1"]
 
 
+def test_recent_live_reads_chosen_files_alone(spark, tmp_path):
+    for i in range(1000):
+        _post(tmp_path / "year=2024" / "month=01" / f"day={i % 7 + 1:02}", f"e{i:04}", event_id=f"e{i}", event_time="2024-01-02T03:04:05Z", event_type="view", product_id="9", price=1, user_id="u")
+        os.utime(tmp_path / "year=2024" / "month=01" / f"day={i % 7 + 1:02}" / f"e{i:04}.json", (1_700_000_000 + i * 37 % 1000,) * 2)
+    recent = files.read_live_recent(spark, str(tmp_path), 25)
+    newest = sorted(range(1000), key=lambda i: -(i * 37 % 1000))[:25]
+    assert {r.event_id for r in recent.collect()} == {f"e{i}" for i in newest}
+    assert len(recent.inputFiles()) == 25
+    (tmp_path / "none").mkdir()
+    assert files.read_live_recent(spark, str(tmp_path / "none"), 25).count() == 0
+
+
 def test_append_live(spark, tmp_path):
     rows = [(None, "2024-03-04T05:06:07Z", "view", "9", None, None, "1.0", "bob", None, "shop")]
     feed = spark.createDataFrame(rows, files.LIVE)
