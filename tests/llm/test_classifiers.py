@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from llm_helpers import ordered
 
 from basketlens.llm import quality_qda, quality_rules, toxicity
@@ -46,6 +47,37 @@ def test_toxicity_held_out(spark):
     assert sum(r.predicted for r in rows if not truth[r.doc_id]) <= 2
 
 
+def test_toxicity_held_out_where_marks_are_only_denser(spark):
+    """On the larger table four in ten toxic texts hold none of the words that only toxic texts hold."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = [r for r in toxicity.score(docs, labels).collect() if r.held_out and r.doc_id in truth]
+    assert auc(rows, truth) > 0.8
+    assert np.mean([r.predicted for r in rows if truth[r.doc_id]]) > 0.55
+    assert np.mean([r.predicted for r in rows if not truth[r.doc_id]]) < 0.02
+
+
+def test_gains_equal_plain_compression(spark):
+    ordinary, toxic = b"1234567" * 12 + b"some ordinary words", b"a toxic passage" * 5 + b"123456789" + b"some ordinary words"
+    texts = ["", "a toxic passage here", "some ordinary words " * 9, "x" * 3000, "a toxic passage " * 7]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    reach = max(len(ordinary), len(toxic)) + toxicity.WINDOW
+    search = {k: max(v, reach.bit_length()) if k.endswith("_log") and k != "search_log" else v for k, v in toxicity.SEARCH.items()}
+    how = zstandard.ZstdCompressionParameters(**search, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_dict_id=False)
+
+    def length(window, content):
+        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(compression_params=how, dict_data=held).compress(window))
+
+    for r in toxicity.measure(frame, (ordinary, toxic)).collect():
+        raw = b" " + " ".join(r.text.lower().split()).encode() + b" "
+        gain = [length(raw[k : k + 64], ordinary) - length(raw[k : k + 64], toxic) for k in range(0, max(1, len(raw) - 32), 32)]
+        best = gain.index(max(gain))
+        apart = [g for k, g in enumerate(gain) if abs(k - best) > 1]
+        assert (r["__llm_first"], r["__llm_second"], r["__llm_n"]) == (max(gain), max(apart, default=0), len(gain))
+        assert r["__llm_mass"] == sum(g for g in gain if g > 0)
+
+
 def test_toxic_passages_are_mined():
     texts = [f" ab{k} lovely grumpf weather{k} ".encode() for k in range(30)]
     keys = {k: 0 for t in texts for k in toxicity._keys(t)}
