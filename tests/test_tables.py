@@ -82,6 +82,19 @@ def test_bronze_layouts(spark, sf, tmp_path):
     assert stats == {"t": 3, "d": 30}
 
 
+def test_storage_stats_read_the_listing_alone(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.range(5000).selectExpr("id", "id % 4 AS part").repartition(3).write.partitionBy("part").parquet(path)
+    stored = [f for f in glob.glob(f"{path}/**/*.parquet", recursive=True)]
+    stats = tables.storage_stats(spark, {"t": path})
+    for name in stored:  # unreadable from here on, the listing stays
+        os.truncate(name, 1_000_000)
+    row = tables.storage_stats(spark, {"t": path}).first()
+    assert (row.files, row.storage_mb) == (len(stored), round(len(stored) * 1_000_000 / 1024 / 1024, 2))
+    scan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<length:bigint>" in scan and "content" not in scan
+
+
 def test_ctr_layouts(spark, tmp_path):
     clicks = spark.createDataFrame([(1, 0, 5), (0, 1, 6)], "label int, day int, row_id long")
     tables.write_ctr(clicks, f"{tmp_path}/days")
