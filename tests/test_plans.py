@@ -72,3 +72,12 @@ def test_queries_equal_their_oracles(spark, sf, name):
     got = check.table([tuple(r) for r in frame.collect()], frame.columns)
     wanted = duck.sql(driver.oracle_sql()[name])
     assert got == check.table(wanted.fetchall(), wanted.columns)
+
+
+@pytest.mark.parametrize("name", ["ctr_filled", "ctr_median_filled"])
+def test_whole_click_rows_come_in_runs_of_equal_digests(spark, sf, name):
+    frame = driver.queries()[name](spark, sf).select("C1", "C26")
+    rows = frame.collect()
+    runs = 1 + sum(a != b for a, b in zip(rows, rows[1:]))
+    assert len(rows) > 5000 and runs <= len(set(rows)) * frame.rdd.getNumPartitions()
+    assert "Exchange" not in plan_of(frame)
