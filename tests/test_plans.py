@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as driver
 from basketlens.operators import metrics, sessions, tables
+from basketlens.plans import registry
 from basketlens.sources import testbed
 
 ACTIONS = ("stream_", "snapshot_", "table_history", "bronze_roundtrip", "similar_items")
@@ -81,3 +82,20 @@ def test_whole_click_rows_come_in_runs_of_equal_digests(spark, sf, name):
     runs = 1 + sum(a != b for a, b in zip(rows, rows[1:]))
     assert len(rows) > 5000 and runs <= len(set(rows)) * frame.rdd.getNumPartitions()
     assert "Exchange" not in plan_of(frame)
+
+
+def test_hashed_click_model_writes_equal_digests_in_runs(spark, sf, monkeypatch):
+    written = []
+
+    def noted(frame, name, **options):
+        written.append((frame, options))
+        raise InterruptedError
+
+    monkeypatch.setattr(registry, "materialise", noted)
+    with pytest.raises(InterruptedError):
+        driver.queries()["ctr_hashed_model"](spark, sf)
+    (frame, options), = written
+    rows = frame.select("C1", "C26").collect()
+    runs = 1 + sum(a != b for a, b in zip(rows, rows[1:]))
+    assert not options.get("spread") and runs <= len(set(rows)) * frame.rdd.getNumPartitions()
+    assert frame.rdd.getNumPartitions() >= 4
