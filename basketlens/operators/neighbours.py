@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,7 +60,7 @@ def nearest_items(
 def _all_pairs(units: DataFrame, wanted: DataFrame, k: int, block: int = BLOCK, strip: int = STRIP) -> DataFrame:
     total, asked = units.count(), wanted.count()
     one = F.lit(0).alias("cell")
-    sizes = units.sparkSession.createDataFrame([(0, _parts(asked, block), _strips(total, strip))], "cell int, blocks int, strips int")
+    sizes = units.sparkSession.createDataFrame([(0, _blocks(asked, block), _strips(total, strip))], "cell int, blocks int, strips int")
     return _ranked(_searched(units.select("*", one), wanted.select("*", one), sizes, k), k)
 
 
@@ -81,12 +81,15 @@ class ItemIndex:
         wanted = min(CELLS, max(1, math.isqrt(total))) if cells is None else cells
         sample = self.units.orderBy(F.xxhash64("item"), "item").select("unit").limit(wanted * SAMPLE).collect()
         self.centres = _fitted(np.array([r[0] for r in sample]), wanted) if sample else np.zeros((0, 1))
-        self.filed = materialise(self._cells(self.units, 1), "filed")
+        self.filed = materialise(self._cells(self.units), "filed")
+        self.held = np.zeros(len(self.centres), np.int64)  # vectors by cell
+        for cell, held in self.filed.groupBy("cell").agg(rows()).collect():  # a row a cell
+            self.held[cell] = held
         self.recall: float | None = None
         self.probes = min(PROBES, len(self.centres))
 
-    def _cells(self, units: DataFrame, probes: int) -> DataFrame:
-        """``units`` with the numbers of their nearest centres, one row each."""
+    def _cells(self, units: DataFrame) -> DataFrame:
+        """``units`` with the number of their nearest centre."""
         centres = self.centres
         schema = T.StructType([*units.schema.fields, T.StructField("cell", T.IntegerType())])
 
@@ -95,19 +98,48 @@ class ItemIndex:
                 for at in range(0, batch.num_rows, 1024):
                     part = batch.slice(at, 1024)
                     near = _matrix(part.column("unit")) @ centres.T
-                    cell = (-near).argsort(1, kind="stable")[:, :probes]
-                    take = pa.array(np.repeat(np.arange(part.num_rows), cell.shape[1]))
-                    yield pa.record_batch([*(c.take(take) for c in part.columns), pa.array(cell.ravel().astype(np.int32))], names=schema.fieldNames())
+                    yield pa.record_batch([*part.columns, pa.array(near.argmax(1).astype(np.int32))], names=schema.fieldNames())
 
         return units.select("item", "unit").mapInArrow(run, schema) if len(centres) else units.select("*", F.lit(0).alias("cell")).limit(0)
 
+    def _asked(self, wanted: DataFrame, probes: int, needs: np.ndarray) -> DataFrame:
+        """Requests with the bits of the cells they probe, one row for each strip that ``needs`` (cells x strips) asks of them."""
+        centres, needs = self.centres, needs.astype(np.float32)
+        schema = T.StructType([*wanted.select("item", "unit").schema.fields, T.StructField("strip", T.IntegerType()), T.StructField("probed", T.BinaryType())])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1024):
+                    part = batch.slice(at, 1024)
+                    near = _matrix(part.column("unit")) @ centres.T
+                    probed = np.zeros(near.shape, bool)
+                    np.put_along_axis(probed, (-near).argsort(1, kind="stable")[:, :probes], True, 1)
+                    request, strip = np.nonzero(probed.astype(np.float32) @ needs)
+                    bits = pa.array([row.tobytes() for row in np.packbits(probed, axis=1)], pa.binary())
+                    take = pa.array(request)
+                    yield pa.record_batch([*(c.take(take) for c in part.columns), pa.array(strip.astype(np.int32)), bits.take(take)], names=schema.fieldNames())
+
+        return wanted.select("item", "unit").mapInArrow(run, schema)
+
     def _search(self, wanted: DataFrame, k: int, probes: int, block: int, strip: int) -> DataFrame:
-        asked = materialise(self._cells(wanted, probes), "probes")
-        items = self.filed.groupBy("cell").agg(rows().alias("n"))
-        sizes = items.join(asked.groupBy("cell").agg(rows().alias("m")), "cell").select(
-            "cell", F.ceil(F.col("m") / block).cast("int").alias("blocks"), F.ceil(F.col("n") / strip).cast("int").alias("strips")
+        """The cells' vectors lie end to end and are cut into strips, so a strip has many small cells or a piece of a
+        large one. A request goes to a strip once, for all its cells there: at worst what all similarities ship.
+        """
+        blocks, strips = _blocks(wanted.count(), block), _strips(self.held.sum(), strip)
+        size, end = max(1, -(-int(self.held.sum()) // strips)), self.held.cumsum()
+        first, last = (end - self.held) // size, (end - 1) // size
+        needs = (first[:, None] <= np.arange(strips)) & (np.arange(strips) <= last[:, None]) & (self.held > 0)[:, None]
+        places = [(cell, int(end[cell] - n), int(n)) for cell, n in enumerate(self.held)]
+        placed = self.filed.join(F.broadcast(wanted.sparkSession.createDataFrame(places, "cell int, start long, held long")), "cell")
+        place = F.col("start") + F.pmod(F.xxhash64(F.lit(7), "item"), F.col("held"))
+        left = self._asked(wanted, probes, needs).select(
+            F.lit(-1).alias("cell"), _block(F.lit(blocks)), "strip", F.lit(True).alias("asks"), "item", "unit", "probed"
+        )
+        right = placed.select(
+            "cell", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.floor(place / size).cast("int").alias("strip"),
+            F.lit(False).alias("asks"), "item", "unit", F.lit(None).cast("binary").alias("probed"),
         )
-        return _ranked(_searched(self.filed, asked, sizes, k), k)
+        return _ranked(_dealt(left, right, blocks * strips, k), k)
 
     def audit(self, k: int = 10, least: float = RECALL, block: int = BLOCK, strip: int = STRIP) -> float:
         """Settle ``probes``; the recall that the sampled requests reach, 1 without vectors."""
@@ -150,8 +182,14 @@ def _parts(n: int, size: int) -> int:
     return max(1, -(-int(n) // size))
 
 
+def _blocks(n: int, block: int) -> int:
+    """Blocks grow with the root of the requests, so that copies of the items stay far fewer than pairs."""
+    return _parts(n, max(block, 32 * math.isqrt(n) if block == BLOCK else block))
+
+
 def _strips(n: int, strip: int) -> int:
     """Strips grow with the root of the items, so that finds of all strips stay far fewer than pairs."""
+    n = int(n)
     return _parts(n, max(strip, 32 * math.isqrt(n) if strip == STRIP else strip))
 
 
@@ -159,30 +197,41 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _block(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("item"), blocks).cast("int").alias("block")
+
+
 def _searched(items: DataFrame, asked: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
-    """The best items (item, neighbour, similarity) of each request in each strip of the cells it asks.
+    """The best items (item, neighbour, similarity) of each request in each strip of all items.
 
-    ``sizes`` has the blocks of requests and strips of items of every cell, so a
-    cell that holds most items, or that most requests ask, is many tasks' work.
+    ``sizes`` has the blocks of requests and strips of items, for the one cell that all are in.
     """
-    part = F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int")
     strip = F.pmod(F.xxhash64(F.lit(7), "item"), F.col("strips")).cast("int")
+    probed = F.lit(None).cast("binary").alias("probed")
     left = asked.join(sizes, "cell").select(
-        "cell", part.alias("block"), F.explode(F.expr("sequence(0, strips - 1)")).alias("strip"), F.lit(True).alias("asks"), "item", "unit"
+        "cell", _block(F.col("blocks")), F.explode(F.expr("sequence(0, strips - 1)")).alias("strip"), F.lit(True).alias("asks"), "item", "unit", probed
     )
     right = items.join(sizes, "cell").select(
-        "cell", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), strip.alias("strip"), F.lit(False).alias("asks"), "item", "unit"
+        "cell", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), strip.alias("strip"), F.lit(False).alias("asks"), "item", "unit", probed
     )
     tasks = sizes.agg(F.sum(F.col("blocks").cast("long") * F.col("strips"))).first()[0] or 1
-    dealt = left.unionByName(right).repartition(min(2 * tasks, 10_000), "cell", "block", "strip")
-    ordered = dealt.sortWithinPartitions("cell", "block", "strip", F.desc("asks"), "item")
-    kind = items.schema["item"].dataType
+    return _dealt(left, right, tasks, k)
+
+
+def _dealt(left: DataFrame, right: DataFrame, tasks: int, k: int) -> DataFrame:
+    """Requests and items meet by (block, strip)."""
+    dealt = left.unionByName(right).repartition(min(2 * tasks, 10_000), "block", "strip")
+    ordered = dealt.sortWithinPartitions("block", "strip", F.desc("asks"), "cell", "item")
+    kind = right.schema["item"].dataType
     answer = T.StructType([T.StructField("item", kind), T.StructField("neighbour", kind), T.StructField("similarity", T.DoubleType())])
     return ordered.mapInArrow(_streamed(k), answer)
 
 
 def _streamed(k: int) -> Callable:
-    """Requests of a grid cell come first, its items after them in order of their ids."""
+    """Requests of a grid cell come first, its items after them by the cells of an index, in order of their ids.
+
+    Requests with bits of probed cells meet the items of these only.
+    """
 
     class Block:
         def __init__(self, batches: list[pa.RecordBatch]):
@@ -190,22 +239,35 @@ def _streamed(k: int) -> Callable:
             self.names = self.asked.to_numpy(zero_copy_only=False)
             self.units = np.concatenate([_matrix(b.column("unit")) for b in batches])
             self.score = np.full((len(self.names), k), -np.inf)
-            self.found = np.zeros((len(self.names), k), self.names.dtype)
-
-        def meet(self, batch: pa.RecordBatch) -> None:
-            step = max(1, PAIRS // len(self.names))
+            self.found = np.full((len(self.names), k), self.names[0], self.names.dtype)
+            bits = [bits for b in batches for bits in b.column("probed").to_pylist()]
+            self.probed = None if bits[0] is None else np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1), axis=1).T
+
+        def meet(self, batch: pa.RecordBatch, cell: int) -> None:
+            who = np.arange(len(self.names)) if self.probed is None else np.flatnonzero(self.probed[cell])
+            if not len(who):
+                return
+            names, units = (self.names, self.units) if self.probed is None else (self.names[who], self.units[who])
+            step = max(1, PAIRS // len(who))
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 offered = part.column("item").to_numpy(zero_copy_only=False)
-                scores = np.round(self.units @ _matrix(part.column("unit")).T, SCORE_DIGITS)
-                scores[self.names[:, None] == offered[None]] = -np.inf
-                some = np.flatnonzero(scores.max(1) > self.score[:, -1])  # later items with equal scores have larger ids
+                scores = np.round(units @ _matrix(part.column("unit")).T, SCORE_DIGITS)
+                scores[names[:, None] == offered[None]] = -np.inf
+                best, least = scores.max(1), self.score[who, -1]
+                # Within a cell later items with equal scores have larger ids; a later cell may hold smaller ones.
+                better = (best > least) | (np.isfinite(least) & (best == least) & (offered[0] < self.found[who, -1]))
+                some = np.flatnonzero(better)
                 if not len(some):
                     continue
-                both = np.concatenate([self.score[some], scores[some]], 1)
-                ids = np.concatenate([self.found[some], np.broadcast_to(offered, (len(some), len(offered)))], 1)
+                into = who[some]
+                both = np.concatenate([self.score[into], scores[some]], 1)
+                ids = np.concatenate([self.found[into], np.broadcast_to(offered, (len(some), len(offered)))], 1)
+                if self.probed is not None:
+                    by_id = ids.argsort(1, kind="stable")
+                    both, ids = np.take_along_axis(both, by_id, 1), np.take_along_axis(ids, by_id, 1)
                 top = (-both).argsort(1, kind="stable")[:, :k]
-                self.score[some], self.found[some] = np.take_along_axis(both, top, 1), np.take_along_axis(ids, top, 1)
+                self.score[into], self.found[into] = np.take_along_axis(both, top, 1), np.take_along_axis(ids, top, 1)
 
         def table(self) -> pa.RecordBatch:
             request, place = np.nonzero(np.isfinite(self.score))
@@ -215,22 +277,22 @@ def _streamed(k: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, waiting, block = None, [], None
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "block", "strip", "asks")], 1)
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "strip", "asks", "cell")], 1)
             cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
             for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
                 if start == end:
                     continue
-                here, part = tuple(keys[start, :3]), batch.slice(start, end - start)
+                here, part = tuple(keys[start, :2]), batch.slice(start, end - start)
                 if here != key:
                     if block is not None:
                         yield block.table()
                     key, waiting, block = here, [], None
-                if keys[start, 3]:
+                if keys[start, 2]:
                     waiting.append(part)
                 elif waiting or block is not None:
                     if block is None:
                         block, waiting = Block(waiting), []
-                    block.meet(part)
+                    block.meet(part, keys[start, 3])
         if block is not None:
             yield block.table()
 

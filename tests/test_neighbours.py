@@ -98,3 +98,31 @@ def test_a_vector_is_shipped_once_a_block(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "_streamed", lambda k: lambda batches: map(shipped, batches))
     sent = neighbours._searched(units, units.limit(60), sizes, 5)
     assert sent.filter("similarity = 0").count() == 3 * 600 and sent.filter("similarity = 1").count() == 4 * 60
+
+
+def test_index_ships_a_request_once_a_strip_whatever_it_probes(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    table = spark.createDataFrame([(i, rng.normal(size=16).tolist()) for i in range(600)], "item long, vector array<double>")
+    index = ItemIndex(table, cells=24)
+    deal, sent = neighbours._dealt, []
+    monkeypatch.setattr(neighbours, "_dealt", lambda left, right, tasks, k: sent.append((left.count(), right.count(), tasks)) or deal(left, right, tasks, k))
+    index.recall, index.probes = 1.0, 24
+    found = index.nearest(table, 5, block=200, strip=200).collect()
+    assert sent == [(3 * 600, 3 * 600, 9)]  # by cells it would be 24 * 600 requests
+    by_rank = lambda f: sorted((r.item, r.rank, r.neighbour) for r in f)
+    assert by_rank(found) == by_rank(nearest_items(table, table, 5).collect())
+
+
+def test_index_gives_ties_to_the_smaller_id_across_cells(spark):
+    rng = np.random.default_rng(9)
+    vectors = rng.integers(-1, 2, (300, 3)).astype(float)  # few directions, so most scores tie
+    table = spark.createDataFrame([(f"i{i:03}", v.tolist()) for i, v in enumerate(vectors)], "item string, vector array<double>")
+    index = ItemIndex(table, cells=9)
+    index.recall, index.probes = 1.0, len(index.centres)
+    by_rank = lambda f: sorted((r.item, r.rank, r.neighbour) for r in f.collect())
+    assert by_rank(index.nearest(table, 30, block=70, strip=90)) == by_rank(nearest_items(table, table, 30))
+
+
+def test_blocks_and_strips_grow_with_the_root():
+    copies = lambda n: neighbours._blocks(n, neighbours.BLOCK) + neighbours._strips(n, neighbours.STRIP)
+    assert copies(1_000_000) <= 64 and copies(4_000_000) <= 2 * copies(1_000_000) + 2
