@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from basketlens.operators.clean import hash_split
 from basketlens.operators.interactions import dense_ids, popularity_metrics, ranking_metrics
 from basketlens.operators.metrics import rows
+from basketlens.operators.neighbours import all_pairs, ranked
 from basketlens.session import materialise
 
 SEED = 42
+#: Shares of the items, longest factors first, that are met before users are settled.
+SHARES = (1 / 32, 1 / 16, 1 / 4)
 
 
 @dataclass(frozen=True)
@@ -74,19 +77,44 @@ def train(ratings: DataFrame, size: AlsSize = FULL) -> ALSModel:
     return als.fit(ratings)
 
 
+def best_items(users: DataFrame, items: DataFrame, k: int, shares: tuple[float, ...] = SHARES) -> DataFrame:
+    """The ``k`` items with the largest products with each user's factors: (user_idx, rank, item_idx, score), exactly.
+
+    Both tables hold (id, features). Items are met in strips of falling length;
+    a product is at most both lengths multiplied, so a user whose ``k``-th score
+    is above that for all items to come is settled and leaves the rounds.
+    """
+
+    def prepared(factors: DataFrame, number, name: str) -> DataFrame:
+        unit = F.transform("features", lambda x: x.cast("double"))
+        length = F.sqrt(F.aggregate("unit", F.lit(0.0), lambda total, x: total + x * x))
+        return materialise(factors.select(number.alias("item"), unit.alias("unit")).withColumn("length", length), name)
+
+    # Ids of users are turned below 0, as no item is left out for having its user's number.
+    left, offered = prepared(users, -1 - F.col("id"), "user-factors"), prepared(items, F.col("id"), "item-factors")
+    cuts = offered.agg(F.percentile_approx("length", [1 - share for share in shares])).first()[0] or []
+    lists, above = None, float("inf")
+    for cut in [*sorted(set(cuts), reverse=True), -1.0]:
+        strip = offered.filter((F.col("length") >= cut) & (F.col("length") < above)).select("item", "unit")
+        found = all_pairs(strip, left.select("item", "unit"), k).drop("rank")
+        lists = materialise(ranked(found if lists is None else found.unionByName(lists.drop("rank")), k), "best-items")
+        least = lists.groupBy("item").agg(rows().alias("n"), F.min("similarity").alias("least"))
+        reach = F.col("length") * F.lit(cut * (1 + 1e-9)) + F.lit(1e-11)  # scores are rounded
+        left = left.join(least, "item", "left").filter((F.coalesce("n", F.lit(0)) < k) | (reach >= F.col("least"))).select("item", "unit", "length")
+        left, above = materialise(left, "open-users"), cut
+        if left.isEmpty():
+            break
+    score = F.col("similarity").cast("float").cast("double").alias("score")
+    return lists.select((-1 - F.col("item")).alias("user_idx"), "rank", F.col("neighbour").alias("item_idx"), score)
+
+
 def recommend(model: ALSModel, ratings: Ratings, k: int = 10, requests: DataFrame | None = None) -> DataFrame:
     """Top ``k`` products of all or of the requested users: (user_id, rank, product_id, score)."""
-    if requests is None:
-        lists = model.recommendForAllUsers(k)
-    else:
-        known = requests.select("user_id").distinct().join(ratings.users, "user_id").select("user_idx")
-        lists = model.recommendForUserSubset(known, k)
-    flat = lists.select("user_idx", F.posexplode("recommendations").alias("place", "hit")).select(
-        "user_idx",
-        (F.col("place") + 1).alias("rank"),
-        F.col("hit.item_idx").alias("item_idx"),
-        F.col("hit.rating").cast("double").alias("score"),
-    )
+    users = model.userFactors
+    if requests is not None:
+        known = requests.select("user_id").distinct().join(ratings.users, "user_id").select(F.col("user_idx").alias("id"))
+        users = users.join(known, "id")
+    flat = best_items(users, model.itemFactors, k)
     named = flat.join(ratings.users, "user_idx").join(ratings.items, "item_idx")
     return named.select("user_id", "rank", "product_id", "score")
 

@@ -54,14 +54,15 @@ def nearest_items(
     """
     units = materialise(unit_vectors(vectors, item, vector), "units")
     wanted = units.join(requests.select(F.col(item).alias("item")).distinct(), "item", "left_semi")
-    return _all_pairs(units, wanted, k, block, strip)
+    return all_pairs(units, wanted, k, block, strip)
 
 
-def _all_pairs(units: DataFrame, wanted: DataFrame, k: int, block: int = BLOCK, strip: int = STRIP) -> DataFrame:
+def all_pairs(units: DataFrame, wanted: DataFrame, k: int, block: int = BLOCK, strip: int = STRIP) -> DataFrame:
+    """The ``k`` items of ``units`` with the largest products with each of ``wanted``, both (item, unit), but for itself."""
     total, asked = units.count(), wanted.count()
     one = F.lit(0).alias("cell")
     sizes = units.sparkSession.createDataFrame([(0, _blocks(asked, block), _strips(total, strip))], "cell int, blocks int, strips int")
-    return _ranked(_searched(units.select("*", one), wanted.select("*", one), sizes, k), k)
+    return ranked(_searched(units.select("*", one), wanted.select("*", one), sizes, k), k)
 
 
 class ItemIndex:
@@ -139,12 +140,12 @@ class ItemIndex:
             "cell", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.floor(place / size).cast("int").alias("strip"),
             F.lit(False).alias("asks"), "item", "unit", F.lit(None).cast("binary").alias("probed"),
         )
-        return _ranked(_dealt(left, right, blocks * strips, k), k)
+        return ranked(_dealt(left, right, blocks * strips, k), k)
 
     def audit(self, k: int = 10, least: float = RECALL, block: int = BLOCK, strip: int = STRIP) -> float:
         """Settle ``probes``; the recall that the sampled requests reach, 1 without vectors."""
         sample = materialise(self.units.orderBy(F.xxhash64(F.lit(1), "item"), "item").limit(AUDIT), "audit")
-        truth = materialise(_all_pairs(self.units, sample, k, block, strip), "truth")
+        truth = materialise(all_pairs(self.units, sample, k, block, strip), "truth")
         self.recall = 1.0
         while len(self.centres):
             found = self._search(sample, k, self.probes, block, strip)
@@ -299,6 +300,6 @@ def _streamed(k: int) -> Callable:
     return run
 
 
-def _ranked(found: DataFrame, k: int) -> DataFrame:
+def ranked(found: DataFrame, k: int) -> DataFrame:
     by_score = Window.partitionBy("item").orderBy(F.desc("similarity"), "neighbour")
     return found.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)

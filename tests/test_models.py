@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +70,23 @@ def test_als(spark, events, tmp_path):
     assert store.load("als", f"{tmp_path}/als").rank == 4
 
 
+def test_best_items_equal_all_products_without_meeting_all_items(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    users, items = rng.normal(size=(90, 6)), rng.normal(size=(640, 6)) * rng.exponential(size=(640, 1)) ** 2
+    users[0], items[5] = 0.0, items[9]
+    frame = lambda m: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id int, features array<float>")
+    search, met = recommend.all_pairs, []
+    monkeypatch.setattr(recommend, "all_pairs", lambda u, w, k: met.append(u.count() * w.count()) or search(u, w, k))
+    found = {(r.user_idx, r.rank): (r.item_idx, r.score) for r in recommend.best_items(frame(users), frame(items), 7).collect()}
+    scores = np.round(users.astype("f4").astype("f8") @ items.astype("f4").astype("f8").T, 12)
+    assert len(found) == 90 * 7 and sum(met) < 90 * 640 / 2
+    for user in range(90):
+        best = sorted(range(640), key=lambda i: (-scores[user, i], i))[:7]
+        if user:
+            assert [found[user, rank][0] for rank in range(1, 8)] == best
+        assert [found[user, rank][1] for rank in range(1, 8)] == pytest.approx(scores[user, best], rel=1e-6)
+
+
 def test_item2vec(events, tmp_path):
     placed = sessions.assign_sessions(events, 1440)
     sequences = sessions.item_sequences(placed, ["user_id", "session_id"])
