@@ -132,6 +132,20 @@ def test_feature_histograms_keep_all_values(spark):
     assert counted.filter("feature = 'I13'").count() == 1
 
 
+def test_feature_histograms_bin_all_features_by_one_short_expression(spark):
+    frame = spark.range(100).selectExpr(*[f"cast(if(id % 9 = 0, null, id * {i} - 7) as double) AS I{i}" for i in range(1, 14)])
+    counted = clicks.feature_histograms(frame, 10)
+    assert counted._jdf.queryExecution().optimizedPlan().toString().count("FLOOR(") <= 4
+    for i in (1, 13):
+        values = [v * i - 7.0 for v in range(100) if v % 9]
+        low, high = min(values), max(values)
+        wanted = {}
+        for v in values:
+            wanted.setdefault(min(int((v - low) * 10 / (high - low)), 9), []).append(v)
+        got = {r.bin: (r.n, r.bin_min, r.bin_max) for r in counted.filter(f"feature = 'I{i}'").collect()}
+        assert got == {b: (len(v), min(v), max(v)) for b, v in wanted.items()}
+
+
 def test_missing_and_correlation(spark):
     frame = spark.range(10).selectExpr(
         "cast(id % 2 as int) AS label", "cast(id % 2 as double) AS I1", "cast(null as double) AS I2",
