@@ -219,12 +219,13 @@ def sigmoid(margin: Column) -> Column:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component) of every end of ``edges`` (a, b): the smallest id that can be reached.
 
-    Large-star and small-star rounds: each round joins nothing, groups by node,
-    and at least halves the depth of the trees; a hub's neighbours are reduced by
-    a minimum before they meet, never gathered. Every round is written to the
-    shared folder. Ends when a round changes no edge.
+    Large-star and small-star rounds: each round groups by node, and at least
+    halves the depth of the trees; a hub's neighbours are reduced by a minimum
+    before they meet, never gathered. An edge gives one edge in either star, so
+    rounds don't grow; only the first, which may hang many edges on one root,
+    looks for equal ones. Every round is written to the shared folder. Ends when
+    a round changes no edge.
     """
-    spark = edges.sparkSession
     pairs = materialise(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
     )
@@ -233,22 +234,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         # Large star: neighbours above a node are hung on the smallest of the node and its neighbours.
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (
-            both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        )
-        # Small star: a node and its smaller neighbours are hung on the smallest of those.
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # Small star: a node and its smaller neighbours are hung on the smallest of those; the edge to that one hangs the node.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select("a", "b", "m")
-        after = materialise(
-            small.select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(small.select("a", F.col("m").alias("b")))
-            .where("a <> b")
-            .distinct(),
-            "links",
-        )
-        state = after.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("a")
-        ).first()
+        hung = F.when(F.col("b") > F.col("m"), F.col("b")).otherwise(F.col("a"))
+        after = large.join(low, "a").select(hung.alias("a"), F.col("m").alias("b"))
+        after = materialise(after.distinct() if seen is None else after, "links")
+        state = after.agg(*(F.sum(F.xxhash64(*names).cast("decimal(38,0)")) for names in (("a", "b"), ("b", "a")))).first()
         forget(pairs)
         pairs = after
         if state == seen:

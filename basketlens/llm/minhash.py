@@ -5,12 +5,11 @@ five words, weighted by how often they occur) are points that arrive in a
 Poisson process; the first arrival at each of the signature's places is kept,
 and generation ends once no later arrival can win. Equal places estimate the
 probability Jaccard similarity. Bands of places give buckets; in a bucket,
-members are compared with one pivot, not with each other. Verified links are
+members are compared with a few pivots, not with each other. Verified links are
 joined to components, and buckets that still hold several components are
-compared again, with other pivots, and at last tile by tile: a task holds two
-tiles of a bucket, compares members of different components and gives no more
-links than join them. So a component is whole, although no group is expanded
-into all its pairs.
+compared tile by tile: a task holds two tiles of a bucket, compares members of
+different components and gives no more links than join them. So a component is
+whole, although no group is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ WIDTH, SIMILARITY = 5, 0.8
 BANDS, PLACES = 25, 4
 #: Estimates under the similarity less this are not verified: five standard deviations of the estimate.
 MARGIN = 0.2
-#: Rounds with a pivot of each bucket before components are compared; members and shingles of a tile then.
+#: Pivots of each bucket before components are compared; members and shingles of a tile then.
 PIVOT_ROUNDS, TILE, TILE_SHINGLES = 3, 512, 1 << 18
 
 
@@ -134,7 +133,7 @@ def _bands(bands: int, places: int):
 
 
 def _across(bands: int, places: int, width: int, similarity: float):
-    """Two tiles of a bucket -> links (a, b) that join its components: fewer than the members, however many pairs are similar.
+    """Two tiles of a bucket -> links (a, b) of its components that join them: fewer than the members, however many pairs are similar.
 
     Pairs of different components with near signatures are compared exactly, in
     the first band they share only; a link joins its components at once, so
@@ -143,7 +142,8 @@ def _across(bands: int, places: int, width: int, similarity: float):
 
     def run(group: pa.Table) -> pa.Table:
         side, c = group["side"].to_numpy(), group["c"].to_numpy()
-        home, band = group["component"].to_numpy().copy(), int(group["band"][0].as_py())
+        first, band = group["component"].to_numpy(), int(group["band"][0].as_py())
+        home = first.copy()
         signs = np.frombuffer(b"".join(group["sign"].to_pylist()), np.uint32).reshape(len(c), bands, places)
         rows, keys, counts = shingles(Words(group["text"]), Powers(), width)
         cut = np.searchsorted(rows, np.arange(len(c) + 1))
@@ -178,7 +178,7 @@ def _across(bands: int, places: int, width: int, similarity: float):
                 if not (plain[i] and plain[j]):
                     like = probability_jaccard((keys[mine], counts[mine]), (keys[cut[j] : cut[j + 1]], counts[cut[j] : cut[j + 1]]))
                 if like >= similarity:
-                    links.append((int(c[i]), int(c[j])))
+                    links.append((int(first[i]), int(first[j])))
                     home[home == home[j]] = home[i]
         a, b = zip(*links) if links else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -187,7 +187,7 @@ def _across(bands: int, places: int, width: int, similarity: float):
 
 
 def _links_across(grouped: DataFrame, classes: DataFrame, texts: DataFrame, bands: int, places: int, width: int, similarity: float) -> DataFrame:
-    """Links (a, b) of buckets with several components, tile by tile; a tile has TILE members and TILE_SHINGLES shingles on average."""
+    """Links (a, b) between the components of buckets with several, tile by tile; a tile has TILE members and TILE_SHINGLES shingles on average."""
     sized = grouped.join(classes.select("c", "n_shingles"), "c")
     tiles = F.ceil(F.greatest(F.count("*") / TILE, F.sum("n_shingles") / TILE_SHINGLES)).cast("int")
     size = sized.groupBy("bucket").agg(tiles.alias("tiles"))
@@ -302,46 +302,34 @@ def near_duplicates(
         .select("c", "text"),
         "minhash-texts",
     )
-    links, tree, split, used = None, None, None, [members, texts]
-    for k in range(PIVOT_ROUNDS + 1):
-        if tree is None:
-            grouped = members.withColumn("component", F.col("c"))
-        else:
-            grouped = members.join(tree.withColumnRenamed("id", "c"), "c", "left").withColumn(
-                "component", F.coalesce("component", "c")
-            )
-            several = (
-                grouped.groupBy("bucket")
-                .agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                .where("x <> y")
-                .select("bucket")
-            )
-            grouped = split = materialise(grouped.join(several, "bucket"), "minhash-split")
-            if grouped.isEmpty():
-                break
-        if k < PIVOT_ROUNDS:
-            # The pivot is the member with the smallest hash, another one each round.
-            order = F.xxhash64(F.lit(k), "c")
-            least = grouped.groupBy("bucket").agg(F.min(order).alias("o"))
-            pivots = (
-                grouped.withColumn("o", order)
-                .join(least, ["bucket", "o"])
-                .groupBy("bucket")
-                .agg(F.min("c").alias("pivot"), F.min("component").alias("home"))
-            )
-            pairs = grouped.join(pivots, "bucket").where("component <> home")
-            pairs = pairs.select(F.least("c", "pivot").alias("a"), F.greatest("c", "pivot").alias("b")).distinct()
-            found = _verify(pairs, classes, texts, width, similarity, n_places)
-        else:
-            found = _links_across(grouped, classes, texts, bands, places, width, similarity)
-        found = materialise(found, "minhash-links")
-        used.append(found)
-        links = found if links is None else links.unionByName(found)
-        before, tree = tree, materialise(components(links), "minhash-tree")
-        forget(*(x for x in (before, split) if x is not None))
-    named = classes.select("c", "key", "low").join(tree.withColumnRenamed("id", "c"), "c", "left")
-    named = materialise(named.select("key", "low", F.coalesce("component", "c").alias("component")), "minhash-named")
-    forget(classes, tree, *used)
+    # The pivots are the members with the smallest hashes, by a hash each.
+    least = [F.min_by("c", F.xxhash64(F.lit(k), "c")) for k in range(PIVOT_ROUNDS)]
+    pivots = members.groupBy("bucket").agg(*(x.alias(f"p{k}") for k, x in enumerate(least)))
+    pivots = pivots.select("bucket", F.array_distinct(F.array(*(f"p{k}" for k in range(PIVOT_ROUNDS)))).alias("pivots"))
+    pairs = members.join(pivots, "bucket").select("c", F.explode("pivots").alias("pivot")).where("c <> pivot")
+    pairs = pairs.select(F.least("c", "pivot").alias("a"), F.greatest("c", "pivot").alias("b")).distinct()
+    links = materialise(_verify(pairs, classes, texts, width, similarity, n_places), "minhash-links")
+    tree = materialise(components(links), "minhash-tree")
+    found = classes.select("c", "key", "low").join(tree.withColumnRenamed("id", "c"), "c", "left")
+    found = materialise(found.withColumn("component", F.coalesce("component", "c")), "minhash-found")
+    grouped = members.join(found.select("c", "component"), "c")
+    several = (
+        grouped.groupBy("bucket")
+        .agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        .where("x <> y")
+        .select("bucket")
+    )
+    grouped = materialise(grouped.join(several, "bucket"), "minhash-split")
+    across = materialise(_links_across(grouped, classes, texts, bands, places, width, similarity), "minhash-across")
+    forget(classes, members, texts, links, tree, grouped)
+    named = found.select("key", "low", "component")
+    if not across.isEmpty():
+        joined = components(across).select(F.col("id").alias("component"), F.col("component").alias("joined"))
+        named = materialise(
+            named.join(joined, "component", "left").select("key", "low", F.coalesce("joined", "component").alias("component")), "minhash-named"
+        )
+        forget(found)
+    forget(across)
     lowest = named.groupBy("component").agg(
         F.min("low").alias("class_id"),
         F.min(F.struct(F.col("low").isNull(), F.col("low"), F.col("key"))).getField("key").alias("first_key"),

@@ -279,3 +279,12 @@ def test_passages_with_words_that_polynomials_confuse(spark):
     got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert ordered((r.doc_id, r.kept) for r in got) == ordered(windows_kept(rows))
     assert {r.doc_id: r.n_removed for r in got if r.n_removed} == {100: 50, 101: 50}
+
+
+def test_components_are_sought_twice_at_most(spark, monkeypatch):
+    rows = mutants(60, 400, 6, 2) + [(1000 + i, t) for i, t in mutants(30, 60, 1, 3)]
+    sought, whole = [], minhash.components
+    monkeypatch.setattr(minhash, "components", lambda edges: sought.append(1) or whole(edges))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert ordered(r[:2] for r in got.select("doc_id", "class_id").collect()) == ordered(classes(rows))
+    assert len(sought) <= 2
