@@ -20,10 +20,11 @@ import hashlib
 import re
 from collections import deque
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,7 +89,10 @@ class Runs(dict):
     def __missing__(self, piece: str) -> tuple[int, ...]:
         if not piece or piece[-1] in _BLANK:  # so that no such piece is ever known
             raise _Stacked
-        found = self[piece] = self.number(" " + piece)
+        if self.plain and piece.isascii() and piece.isalpha():  # most are
+            found = self[piece] = (self.entries.setdefault(" " + piece, len(self.entries)),)
+        else:
+            found = self[piece] = self.number(" " + piece)
         return found
 
     def numbers(self, text: str) -> np.ndarray:
@@ -100,17 +104,29 @@ class Runs(dict):
         return np.fromiter(chain.from_iterable(self.found(text)), np.int32)
 
     def found(self, text: str) -> Iterator[tuple[int, ...]]:
-        head, *rest = text.split(" ")
         try:
-            if rest and head and head[-1] in _BLANK:
-                raise _Stacked
+            head, rest = self.parted(text)
             return chain((self.number(head),), list(map(self.__getitem__, rest)))
         except _Stacked:
-            return iter([self.first.get(r) or self.first.setdefault(r, self.number(r)) for r in self.whole(text)])
+            return self.runs(text)
+
+    def parted(self, text: str) -> tuple[str, list[str]]:
+        head, *rest = text.split(" ")
+        if rest and head and head[-1] in _BLANK:
+            raise _Stacked
+        return head, rest
+
+    def runs(self, text: str) -> Iterator[tuple[int, ...]]:
+        return iter([self.first.get(r) or self.first.setdefault(r, self.number(r)) for r in self.whole(text)])
 
     def learn(self, text: str) -> None:
         """Numbers the text's pre-tokens, in the same order."""
-        deque(self.found(text), maxlen=0)
+        try:
+            head, rest = self.parted(text)
+            self.number(head)
+            deque(map(self.__getitem__, filterfalse(self.__contains__, rest)), maxlen=0)
+        except _Stacked:
+            self.runs(text)
 
     def forget(self) -> None:
         self.clear(), self.first.clear(), self.entries.clear()
@@ -154,15 +170,12 @@ def _blocks(pattern: str, block_chars: int, sequences: bool):
                         names=["block", "doc_id", "sequence"],
                     )
             else:
-                words = sorted(runs.entries.items())  # neighbours share beginnings, which compresses
+                words = pa.array(list(runs.entries), pa.large_string())
+                order = pc.sort_indices(words)  # neighbours share beginnings, which compresses
                 for at in range(0, len(words), 50_000):
-                    word, entry = zip(*words[at : at + 50_000])
+                    entry = order.slice(at, 50_000)
                     yield pa.record_batch(
-                        [
-                            pa.array(np.full(len(word), block)),
-                            pa.array(entry, pa.int32()),
-                            pa.array([w.encode() for w in word], pa.binary()),
-                        ],
+                        [pa.array(np.full(len(entry), block)), entry.cast(pa.int32()), words.take(entry).cast(pa.binary())],
                         names=["block", "entry", "word"],
                     )
             runs.forget(), rows.clear()
@@ -190,43 +203,51 @@ def _answer(path: str, pattern: str):
         import tiktoken
 
         encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})._core_bpe.encode_single_piece
-        last, ids = None, []
-        out: dict[int, tuple[list, list, list]] = {}
-        held = 0
+        held: list[tuple[np.ndarray, ...]] = []
 
         def flush():
-            nonlocal held
-            if out:
-                yield pa.record_batch(
-                    [
-                        pa.array(list(out), pa.int64()),
-                        pa.array([_packed(np.array(x[0])) for x in out.values()], pa.binary()),
-                        pa.array([_packed(np.array(x[1])) for x in out.values()], pa.binary()),
-                        pa.array([_packed(np.array(x[2])) for x in out.values()], pa.binary()),
-                    ],
-                    names=["block", "entries", "lengths", "ids"],
-                )
-            out.clear()
-            held = 0
+            block, entry, size, flat = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            starts = np.cumsum(size) - size
+            by_block = np.argsort(block, kind="stable")
+            block, entry, size = block[by_block], entry[by_block], size[by_block]
+            flat = flat[_places(starts[by_block], size)]
+            cuts = np.flatnonzero(np.diff(block, prepend=block[:1] - 1))
+            ends = np.append(0, np.cumsum(size))
+            parts = list(zip(cuts.tolist(), np.append(cuts[1:], len(block)).tolist()))
+            yield pa.record_batch(
+                [
+                    pa.array(block[cuts]),
+                    pa.array([_packed(entry[i:j]) for i, j in parts], pa.binary()),
+                    pa.array([_packed(size[i:j]) for i, j in parts], pa.binary()),
+                    pa.array([_packed(flat[ends[i] : ends[j]]) for i, j in parts], pa.binary()),
+                ],
+                names=["block", "entries", "lengths", "ids"],
+            )
 
         for batch in batches:
-            for block, entry, word in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if word != last:
-                    last, ids = word, encode(word)
-                kept = out.get(block)
-                if kept is None:
-                    kept = out[block] = ([], [], [])
-                kept[0].append(entry)
-                kept[1].append(len(ids))
-                kept[2].extend(ids)
-                held += 1
-            if held >= 200_000:
+            if not batch.num_rows:
+                continue
+            words = batch.column(2).dictionary_encode()
+            ids = list(map(encode, words.dictionary.to_pylist()))
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            known, which = np.fromiter(chain.from_iterable(ids), np.int64), words.indices.to_numpy()
+            at = _places((np.cumsum(sizes) - sizes)[which], sizes[which])
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64), sizes[which], known[at]))
+            if sum(len(x[0]) for x in held) >= 200_000:
                 yield from flush()
-        yield from flush()
+        if held:
+            yield from flush()
 
     return run
 
 
+def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each run, run after run."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Answers of a block, then its sequences (sorted so) -> (doc_id, ids as little-endian 32-bit numbers)."""
     block, answers, lengths, starts, flat = None, [], None, None, None
@@ -247,12 +268,8 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 starts[entry] = np.cumsum(size) - size
                 answers = []
             number = _unpacked(sequence).astype(np.int64)
-            n = lengths[number]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(ends) else 0
-            at = np.arange(total) + np.repeat(starts[number] - (ends - n), n)
             docs.append(doc_id)
-            ids.append(flat[at].astype("<u4").tobytes())
+            ids.append(flat[_places(starts[number], lengths[number])].astype("<u4").tobytes())
         if docs:
             yield pa.record_batch([pa.array(docs, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
@@ -300,11 +317,11 @@ def decoder(path: str) -> Callable:
     """Batches (doc_id, ids) -> (doc_id, ids, bytes), by the table of token bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {rank: token for token, rank in read_ranks(path).items()}
+        ranks = read_ranks(path)
+        tokens = np.full(1 + max(ranks.values()), None, object)  # an id without a token fails
+        tokens[list(ranks.values())] = list(ranks)
         for batch in batches:
-            text = [
-                b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())) for ids in batch.column(1).to_pylist()
-            ]
+            text = [b"".join(tokens[np.frombuffer(ids, "<u4")].tolist()) for ids in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(text, pa.binary())], names=["doc_id", "ids", "bytes"])
 
     return run
@@ -323,13 +340,13 @@ def digests(path: str) -> Callable:
     decoded = decoder(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = list(map(str, range(1 + max(read_ranks(path).values()))))
+        names = np.char.add(" ", np.arange(1 + max(read_ranks(path).values())).astype(str)).astype("S")  # of one width, filled up by NUL
         for batch in decoded(batches):
             counts, shas = [], []
             for ids in batch.column(1).to_pylist():
-                numbers = np.frombuffer(ids, "<u4").tolist()
+                numbers = np.frombuffer(ids, "<u4")
                 counts.append(len(numbers))
-                shas.append(hashlib.sha256(" ".join(map(names.__getitem__, numbers)).encode()).hexdigest())
+                shas.append(hashlib.sha256(names[numbers].tobytes().translate(None, b"\0")[1:]).hexdigest())
             texts = [hashlib.sha256(t).hexdigest() for t in batch.column(2).to_pylist()]
             yield pa.record_batch(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(shas), pa.array(texts)],

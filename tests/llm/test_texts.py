@@ -212,3 +212,33 @@ def test_oversized_keys_are_numbered_across_blocks(spark):
     rows = spark.range(0, 150_000, 1, 2).selectExpr("7L AS doc_id", "'ab' AS text")
     sizes = [r["count"] for r in sharding.shards(rows, limit=14).groupBy("shard").count().collect()]
     assert max(sizes) == 7 and sum(sizes) == 150_000 and len(sizes) == -(-150_000 // 7)
+
+
+def test_plain_words_are_split_without_the_pattern():
+    from public_tokenizers import PATTERN
+
+    from basketlens.llm.byte_bpe import Runs
+
+    runs, asked = Runs(PATTERN), []
+    number = runs.number
+    runs.number = lambda text: asked.append(text) or number(text)
+    text = "The cat, the caté and THE cat\x00 's a1 cat"
+    runs.learn(text)
+    assert asked == ["The", " cat,", " caté", " cat\x00", " 's", " a1"]
+    again = Runs(PATTERN)
+    names = {v: k for k, v in runs.entries.items()}
+    assert [names[n] for n in runs.numbers(text).tolist()] == again.pieces(text)
+    assert again.numbers(text).tolist() == runs.numbers(text).tolist() and again.entries == runs.entries
+
+
+def test_tokens_that_end_in_nul_are_decoded(tmp_path):
+    import base64
+
+    import pyarrow as pa
+
+
+    (tmp_path / "r").write_text("".join(f"{base64.b64encode(t).decode()} {i}\n" for i, t in [(0, b"\0"), (1, b"a"), (7, b"a\0"), (10, b"b")]))
+    ids = [np.array(x, "<u4").tobytes() for x in ([7, 0, 1, 10], [])]
+    row = next(byte_bpe.digests(str(tmp_path / "r"))(iter([pa.record_batch([pa.array([1, 2]), pa.array(ids)], names=["doc_id", "ids"])]))).to_pylist()
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    assert [tuple(r.values()) for r in row] == [(1, 4, sha(b"7 0 1 10"), sha(b"a\0\0ab")), (2, 0, sha(b""), sha(b""))]
