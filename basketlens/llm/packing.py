@@ -77,7 +77,9 @@ class Chunks(dict):
         if found is None:
             found = self.older_words.get(word)
             if found is None:
-                if self.plain(word):
+                if word.isascii() and word.isalpha():
+                    found = array("I", [t.id for t in self.merge(word)]).tobytes()
+                elif self.plain(word):
                     found = array("I", [t.id for t in self.merge(word.translate(self.spelt))]).tobytes()
                 else:
                     found = self.parts(word)
@@ -89,10 +91,12 @@ class Chunks(dict):
     def __missing__(self, chunk: str) -> bytes:
         found = self.older.get(chunk)
         if found is None:
-            core = chunk.rstrip(self.ENDS)
+            core = chunk if chunk.isalpha() else chunk.rstrip(self.ENDS)
             low = core.lower()
-            if self.plain(core) and self.plain(low):
-                found = self.word(low) + (self.word(chunk[len(core) :]) if len(core) < len(chunk) else b"")
+            if core.isalpha() and (core.isascii() or (self.plain(core) and self.plain(low))):
+                found = self.word(low)
+                if len(core) < len(chunk):
+                    found += self.word(chunk[len(core) :])
             else:
                 found = self.word(chunk.lower()) if chunk.isascii() else self.parts(chunk)
         if len(self) >= self.LIMIT:

@@ -231,6 +231,15 @@ def test_plain_words_are_split_without_the_pattern():
     assert again.numbers(text).tolist() == runs.numbers(text).tolist() and again.entries == runs.entries
 
 
+def test_ascii_words_are_not_examined_twice():
+    chunks, asked = packing.Chunks(vocabulary("word_bpe_49k.json")), []
+    plain = chunks.plain
+    chunks.plain = lambda word: asked.append(word) or plain(word)
+    text = "The cat, the Caté. and THE ca1 İx éa (cat) ...!"
+    assert chunks.ids(text).tolist() == chunks.whole(text)
+    assert not {"the", "cat", "and"} & {w.lower() for w in asked}
+
+
 def test_tokens_that_end_in_nul_are_decoded(tmp_path):
     import base64
 
