@@ -144,8 +144,8 @@ def learning(spark: SparkSession, layout: Layout, sizes: Sizes = Sizes()) -> Dat
     artifacts = layout.path("models")
     found: dict[str, float] = {}
 
-    clicked = materialise(click.prepare(files.read_layer(spark, layout.bronze_ctr)), "click-rows", spread=True)
-    train, test = clean.hash_split(clicked, 0.2, *clean.numeric_columns(clicked))
+    clicked = click.prepare(files.read_layer(spark, layout.bronze_ctr))
+    train, test = clean.stored_split(clicked, 0.2, *clean.numeric_columns(clicked), name="click-rows", spread=True)
     trees = click.train(train, click.boosted_trees(sizes.trees))
     found["ctr_auc_roc"] = click.evaluate(trees, test, "trees").auc_roc
     store.save(trees, f"{artifacts}/click")

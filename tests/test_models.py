@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from basketlens.models import click, item2vec, recommend, segments, store
 from basketlens.operators import clean, interactions, lookup, profiles, sessions
+from basketlens.session import recorded
 from basketlens.sources import synthetic, testbed
 from basketlens.sources.files import write_summary
 
@@ -44,6 +45,21 @@ def test_chance_labels_stay_chance(spark):
     assert 0.4 < click.evaluate(click.train(train, click.logistic(10)), test, "linear").auc_roc < 0.6
 
 
+def test_stored_halves_hash_keys_once_and_models_share_vectors(spark):
+    rows = click.prepare(synthetic.generate_ctr(600, spark)).withColumn("I2", F.expr("CASE WHEN I1 > 3 THEN NULL WHEN I1 > 1 THEN -0.0D ELSE I1 * 1e9 END"))
+    keys = ["I1", "I2", "I3"]
+    spelt = F.md5(F.concat_ws("|", *[F.col(key).cast("string") for key in keys]))
+    held_out = F.conv(F.substring(spelt, 1, 8), 16, 10).cast("long") % 100 >= 80
+    halves = clean.stored_split(rows, 0.2, *keys, name="click-rows")
+    for half, wanted in zip(halves, (rows.filter(~held_out), rows.filter(held_out))):
+        assert half.columns == rows.columns and half.count() > 0
+        assert half.exceptAll(wanted).count() == wanted.exceptAll(half).count() == 0
+        assert "md5" not in half._jdf.queryExecution().toString()
+    with recorded() as paths:
+        models = click.train_all(clean.fill_zero(halves[0]), click.logistic(2), click.logistic(3))
+    assert len(paths) == 1 and len(models) == 2
+
+
 def test_hashed_features(clicks):
     model = click.train(clicks, click.logistic(3), click.hashed_stages(256))
     vector = model.transform(clicks.limit(1)).first().features
