@@ -60,6 +60,22 @@ def test_stored_halves_hash_keys_once_and_models_share_vectors(spark):
     assert len(paths) == 1 and len(models) == 2
 
 
+def test_a_task_of_training_holds_few_rows_however_tightly_stored(spark, monkeypatch):
+    """Equal rows take no bytes in a column file, but all their memory as objects."""
+    monkeypatch.setattr(click, "FILE_ROWS", 200, raising=False)
+    rows = spark.range(0, 6000, 1, 1).select(F.lit(1.0).alias("label"), *[F.lit(0.0).alias(f"I{i}") for i in range(1, 14)])
+    sizes, name = [], "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+
+    class Counting:
+        def fit(self, vectors):
+            sizes.extend(r["count"] for r in vectors.groupBy(F.spark_partition_id()).count().collect())
+
+    click.train(rows, Counting())
+    assert sum(sizes) == 6000 and max(sizes) <= 4 * 200
+    assert spark.conf.get(name) == before
+
+
 def test_hashed_features(clicks):
     model = click.train(clicks, click.logistic(3), click.hashed_stages(256))
     vector = model.transform(clicks.limit(1)).first().features
