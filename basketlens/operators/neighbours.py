@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from basketlens.operators.metrics import rows
 from basketlens.session import materialise
 
-#: Requests of a block, fewest items of a strip, pairs scored at once.
-BLOCK, STRIP, PAIRS = 4096, 4096, 1 << 20
+#: Requests of a block, fewest items of a strip, requests and items scored at once, finds of a request there that are few.
+BLOCK, STRIP, TILE, FEW = 4096, 4096, 1024, 64
 #: Similarities are compared at this precision, below which products of equal vectors may differ.
 SCORE_DIGITS = 12
 #: Most cells of an index, vectors a cell is fitted on, and rounds of fitting.
@@ -33,9 +33,11 @@ AUDIT, PROBES, RECALL = 256, 4, 0.95
 def unit_vectors(vectors: DataFrame, item: str, vector: str) -> DataFrame:
     """(item, unit) with unit-length double vectors; a zero vector stays zero."""
     values = F.transform(vector, lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda total, x: total + x * x))
-    scaled = F.when(norm > 0, F.transform(values, lambda x: x / norm)).otherwise(values)
-    return vectors.select(F.col(item).alias("item"), scaled.alias("unit"))
+    norm = F.sqrt(F.aggregate("values", F.lit(0.0), lambda total, x: total + x * x))
+    # An array of one (values, length) keeps the length out of the inner loop, where it would be taken again for each component.
+    measured = vectors.select(F.col(item).alias("item"), values.alias("values")).select("item", F.array(F.struct("values", norm.alias("norm"))).alias("one"))
+    scaled = F.transform("one", lambda v: F.when(v["norm"] > 0, F.transform(v["values"], lambda x: x / v["norm"])).otherwise(v["values"]))
+    return measured.select("item", F.get(scaled, F.lit(0)).alias("unit"))
 
 
 def nearest_items(
@@ -73,6 +75,8 @@ class ItemIndex:
     centres. How many is settled by an audit: sampled requests are also answered
     by all similarities, and the probes are doubled until ``RECALL`` of their
     neighbours are found, at worst until all cells are probed, which is exact.
+    Numbers of probes that leave too many neighbours in other cells are passed over
+    without a search; what counts is the recall of a search.
     """
 
     def __init__(self, vectors: DataFrame, item: str = "item", vector: str = "vector", cells: int | None = None):
@@ -147,6 +151,11 @@ class ItemIndex:
         sample = materialise(self.units.orderBy(F.xxhash64(F.lit(1), "item"), "item").limit(AUDIT), "audit")
         truth = materialise(all_pairs(self.units, sample, k, block, strip), "truth")
         self.recall = 1.0
+        order = self._orders(sample)
+        filed = truth.join(self.filed.select(F.col("item").alias("neighbour"), "cell"), "neighbour")
+        places = np.array([order[r["item"]][r["cell"]] for r in filed.select("item", "cell").collect()])  # k a sampled request
+        while self.probes < len(self.centres) and (places < self.probes).sum() < least * len(places):
+            self.probes = min(2 * self.probes, len(self.centres))
         while len(self.centres):
             found = self._search(sample, k, self.probes, block, strip)
             hits = found.join(truth, ["item", "neighbour"], "left_semi").count()
@@ -156,6 +165,14 @@ class ItemIndex:
             self.probes = min(2 * self.probes, len(self.centres))
         return self.recall
 
+    def _orders(self, sample: DataFrame) -> dict:
+        """For each of a few requests, the place of every cell among those it probes first."""
+        asked = sample.select("item", "unit").collect()
+        if not asked or not len(self.centres):
+            return {}
+        first = (-(np.array([r["unit"] for r in asked]) @ self.centres.T)).argsort(1, kind="stable")
+        return dict(zip((r["item"] for r in asked), first.argsort(1)))
+
     def nearest(self, requests: DataFrame, k: int = 10, block: int = BLOCK, strip: int = STRIP) -> DataFrame:
         """As ``nearest_items``, over the probed cells only; audited first, if it wasn't."""
         if self.recall is None:
@@ -198,6 +215,22 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _sizes(units: np.ndarray) -> np.ndarray:
+    """Lengths, to scale by: 1 for zero and non-finite vectors."""
+    size = np.linalg.norm(units, axis=1)
+    return np.where(np.isfinite(size) & (size > 0), size, 1.0)
+
+
+def _places(flags: np.ndarray) -> np.ndarray:
+    """Where few flags are true, as places in the flattened array: eight are looked at together."""
+    flat = flags.ravel()
+    if len(flat) % 8:
+        return np.flatnonzero(flat)
+    some = np.flatnonzero(flat.view(np.uint64))
+    at, place = np.nonzero(flat.reshape(-1, 8)[some])
+    return some[at] * 8 + place
+
+
 def _block(blocks: Column) -> Column:
     return F.pmod(F.xxhash64("item"), blocks).cast("int").alias("block")
 
@@ -239,36 +272,76 @@ def _streamed(k: int) -> Callable:
             self.asked = pa.chunked_array([b.column("item") for b in batches]).combine_chunks()
             self.names = self.asked.to_numpy(zero_copy_only=False)
             self.units = np.concatenate([_matrix(b.column("unit")) for b in batches])
+            self.size = _sizes(self.units)
+            self.rough = (self.units / self.size[:, None]).astype(np.float32)
             self.score = np.full((len(self.names), k), -np.inf)
             self.found = np.full((len(self.names), k), self.names[0], self.names.dtype)
             bits = [bits for b in batches for bits in b.column("probed").to_pylist()]
             self.probed = None if bits[0] is None else np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1), axis=1).T
 
         def meet(self, batch: pa.RecordBatch, cell: int) -> None:
+            """Tiles are scored in single precision; only what may be among the best is scored exactly."""
             who = np.arange(len(self.names)) if self.probed is None else np.flatnonzero(self.probed[cell])
             if not len(who):
                 return
-            names, units = (self.names, self.units) if self.probed is None else (self.names[who], self.units[who])
-            step = max(1, PAIRS // len(who))
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                offered = part.column("item").to_numpy(zero_copy_only=False)
-                scores = np.round(units @ _matrix(part.column("unit")).T, SCORE_DIGITS)
-                scores[names[:, None] == offered[None]] = -np.inf
-                best, least = scores.max(1), self.score[who, -1]
-                # Within a cell later items with equal scores have larger ids; a later cell may hold smaller ones.
-                better = (best > least) | (np.isfinite(least) & (best == least) & (offered[0] < self.found[who, -1]))
-                some = np.flatnonzero(better)
-                if not len(some):
-                    continue
-                into = who[some]
-                both = np.concatenate([self.score[into], scores[some]], 1)
-                ids = np.concatenate([self.found[into], np.broadcast_to(offered, (len(some), len(offered)))], 1)
-                if self.probed is not None:
-                    by_id = ids.argsort(1, kind="stable")
-                    both, ids = np.take_along_axis(both, by_id, 1), np.take_along_axis(ids, by_id, 1)
-                top = (-both).argsort(1, kind="stable")[:, :k]
-                self.score[into], self.found[into] = np.take_along_axis(both, top, 1), np.take_along_axis(ids, top, 1)
+            offered, units = batch.column("item").to_numpy(zero_copy_only=False), _matrix(batch.column("unit"))
+            size, asking = _sizes(units).max(), self.rough if self.probed is None else self.rough[who]
+            rough, slack = (units / size).astype(np.float32), (units.shape[1] + 8) * 2.0**-23
+            for at in range(0, len(units), TILE):
+                items, names, near = units[at : at + TILE], offered[at : at + TILE], rough[at : at + TILE].T
+                for start in range(0, len(who), TILE):
+                    rows = who[start : start + TILE]
+                    least = self.score[rows, -1] / (self.size[rows] * size) - slack
+                    scores = asking[start : start + TILE] @ near
+                    if len(items) > k + 1 and np.isneginf(least).any():
+                        # The request itself may be among the items, so that one more than k must be as good.
+                        best = np.partition(np.where(np.isnan(scores), -np.inf, scores), -k - 1, axis=1)[:, -k - 1]
+                        least = np.maximum(least, best - 2 * slack)
+                    hopeful = scores >= least.astype(np.float32)[:, None]
+                    request, place = np.divmod(_places(hopeful), len(items))
+                    if not len(request):
+                        continue
+                    held = np.bincount(request, minlength=len(rows))
+                    if held.max() > FEW:
+                        self.offer_all(rows[held > FEW], items, names)
+                        few = held[request] <= FEW
+                        request, place = request[few], place[few]
+                    scores = np.einsum("ij,ij->i", self.units[rows[request]], items[place])
+                    self.offer(rows, request, np.round(scores, SCORE_DIGITS), names[place])
+
+        def offer_all(self, rows: np.ndarray, items: np.ndarray, names: np.ndarray) -> None:
+            """Score all ``items``, which come by their ids; of more than ``k`` the best go on, of equal ones the first."""
+            scores = np.round(self.units[rows] @ items.T, SCORE_DIGITS)
+            scores[np.isnan(scores) | (self.names[rows][:, None] == names[None])] = -np.inf
+            best = scores > -np.inf
+            if scores.shape[1] > k:
+                least = np.partition(scores, -k, axis=1)[:, -k, None]
+                best &= scores >= least
+                tied = np.flatnonzero(best.sum(1) > k)
+                equal = scores[tied] == least[tied]
+                best[tied] &= ~equal | (equal.cumsum(1) <= k)
+            request, place = np.nonzero(best)
+            self.offer(rows, request, scores[request, place], names[place])
+
+        def offer(self, rows: np.ndarray, request: np.ndarray, scores: np.ndarray, names: np.ndarray) -> None:
+            """Merge finds, in order of ``request`` (a place in ``rows``), into the best so far."""
+            into = rows[request]
+            # Within a cell later items with equal scores have larger ids; a later cell may hold smaller ones.
+            better = (scores >= self.score[into, -1]) & (scores > -np.inf) & (self.names[into] != names)
+            request, scores, names = request[better], scores[better], names[better]
+            if not len(request):
+                return
+            some, request, held = np.unique(request, return_inverse=True, return_counts=True)
+            slot = np.arange(len(request)) - (held.cumsum() - held)[request]
+            into = rows[some]
+            new, ids = np.full((len(some), held.max()), -np.inf), np.full((len(some), held.max()), names[0], self.found.dtype)
+            new[request, slot], ids[request, slot] = scores, names
+            both, ids = np.concatenate([self.score[into], new], 1), np.concatenate([self.found[into], ids], 1)
+            if self.probed is not None:
+                by_id = ids.argsort(1, kind="stable")
+                both, ids = np.take_along_axis(both, by_id, 1), np.take_along_axis(ids, by_id, 1)
+            top = (-both).argsort(1, kind="stable")[:, :k]
+            self.score[into], self.found[into] = np.take_along_axis(both, top, 1), np.take_along_axis(ids, top, 1)
 
         def table(self) -> pa.RecordBatch:
             request, place = np.nonzero(np.isfinite(self.score))

@@ -126,3 +126,40 @@ def test_index_gives_ties_to_the_smaller_id_across_cells(spark):
 def test_blocks_and_strips_grow_with_the_root():
     copies = lambda n: neighbours._blocks(n, neighbours.BLOCK) + neighbours._strips(n, neighbours.STRIP)
     assert copies(1_000_000) <= 64 and copies(4_000_000) <= 2 * copies(1_000_000) + 2
+
+
+@pytest.mark.parametrize("copies", [0, 1500])
+def test_few_pairs_are_scored_exactly(monkeypatch, copies):
+    """All other items of 2400 requests in one grid cell; rounding stands for the exact scores of pairs."""
+    rng, n, k = np.random.default_rng(11), 2400, 7
+    vectors = rng.normal(size=(n, 24)) * rng.exponential(size=(n, 1))
+    vectors[:copies] = vectors[0]
+    vectors[-1], vectors[-2] = 0.0, vectors[3] * (1 + 1e-9)
+    rounded, plain = [], np.round
+    monkeypatch.setattr(neighbours.np, "round", lambda values, digits: rounded.append(np.size(values)) or plain(values, digits))
+
+    def batch(asks, start, end):
+        size = end - start
+        columns = {"block": pa.array([0] * size, pa.int32()), "strip": pa.array([0] * size, pa.int32()), "asks": pa.array([asks] * size)}
+        columns |= {"cell": pa.array([0] * size, pa.int32()), "item": pa.array(range(start, end))}
+        return pa.record_batch(columns | {"unit": pa.array(vectors[start:end].tolist()), "probed": pa.nulls(size, pa.binary())})
+
+    batches = [batch(True, 0, n), batch(False, 0, 1100), batch(False, 1100, n)]
+    found = {}
+    for table in neighbours._streamed(k)(iter(batches)):
+        for item, neighbour, score in zip(*(table.column(c).to_pylist() for c in ("item", "neighbour", "similarity"))):
+            found.setdefault(item, []).append((neighbour, score))
+    assert copies or sum(rounded) < 0.1 * n * n
+    scores = plain(vectors @ vectors.T, 12)
+    for item in [*range(0, n, 37), n - 1, n - 2]:
+        best = sorted((j for j in range(n) if j != item), key=lambda j: (-scores[item, j], j))[:k]
+        assert [j for j, _ in found[item]] == best
+        assert [score for _, score in found[item]] == pytest.approx(scores[item, best], abs=1e-11)
+
+
+def test_lengths_are_taken_once_a_vector(spark):
+    """Not once for each component, as when the length is spelt out within the loop over them."""
+    table = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 0.0]), (3, None)], "item long, vector array<float>")
+    units = neighbours.unit_vectors(table, "item", "vector")
+    assert {r["item"]: r["unit"] for r in units.collect()} == {1: [0.6, 0.8], 2: [0.0, 0.0], 3: None}
+    assert units._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
