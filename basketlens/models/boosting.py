@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from basketlens.session import forget, materialise, short_splits
 
-#: Rows of a chunk, and chunks of a file.
-CHUNK, FILE_CHUNKS = 1 << 16, 24
+#: Rows of a chunk, chunks of a file and of a read.
+CHUNK, FILE_CHUNKS, READ = 1 << 16, 24, 4
 #: Rows that thresholds are taken from, at least; what a byte holds; features whose sums stay small.
 SAMPLE, BINS, DEPTH, FEATURES = 10_000, 256, 7, 256
 EPSILON = np.finfo(float).eps
@@ -67,7 +67,7 @@ class BinnedTrees(GBTClassifier):
         cuts = self._thresholds(rows, total)
         chunks = materialise(rows.mapInArrow(_binned(cuts), "label binary, bins binary"), "click-bins", file_rows=FILE_CHUNKS)
         trees: list[tuple[Node, float]] = []
-        with short_splits(dataset.sparkSession):
+        with short_splits(dataset.sparkSession, READ):
             for step in [1.0, *[self.getStepSize()] * (self.getMaxIter() - 1)]:
                 trees.append((self._tree(chunks, trees, cuts), step))
         forget(chunks)
