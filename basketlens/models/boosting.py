@@ -9,11 +9,13 @@ Nothing is kept of a row between the passes, so memory doesn't grow with the row
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -27,6 +29,9 @@ CHUNK, FILE_CHUNKS, READ = 1 << 16, 24, 4
 SAMPLE, BINS, DEPTH, FEATURES = 10_000, 256, 7, 256
 EPSILON = np.finfo(float).eps
 
+# Workers need not have this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass
 class Node:
@@ -77,10 +82,17 @@ class BinnedTrees(GBTClassifier):
         """Cuts between the bins of each feature, from all rows or a sample of them."""
         bins = min(self.getMaxBins(), total)
         share = min(1.0, max(self.getMaxBins() ** 2, SAMPLE) / total)
-        picked = rows if share == 1.0 else rows.sample(share, self.getSeed())
+        picked = rows if share == 1.0 else self._sample(rows, share)
         values = np.array([r[0] for r in picked.select("values").collect()], float)  # some 10,000 rows
         return [_cuts(column, total * share, bins - 1) for column in values.T]
 
+    def _sample(self, rows: DataFrame, share: float) -> DataFrame:
+        """The rows that Spark's trees take their thresholds from."""
+        session = rows.sparkSession
+        seed = session._jvm.org.apache.spark.util.random.XORShiftRandom(self.getSeed()).nextInt()
+        picked = rows._jdf.toJavaRDD().sample(False, share, seed)
+        return DataFrame(session._jsparkSession.createDataFrame(picked, rows._jdf.schema()), session)
+
     def _tree(self, chunks: DataFrame, trees: list, cuts: list[np.ndarray]) -> Node:
         width = max(map(len, cuts)) + 1
         before, root = [(_levels(tree), step) for tree, step in trees], None
@@ -130,7 +142,7 @@ def _cuts(values: np.ndarray, expected: float, most: int) -> np.ndarray:
     """At most ``most`` cuts that leave about as many of ``values`` in each bin; zeros count as what others leave of ``expected``."""
     found, held = np.unique(values[values != 0], return_counts=True)
     zeros, counts = expected - held.sum(), held.astype(float)
-    if zeros > EPSILON * len(values) ** 2:
+    if zeros > EPSILON * len(values) * 100 and len(found):
         at = np.searchsorted(found, 0.0)
         found, counts = np.insert(found, at, 0.0), np.insert(counts, at, zeros)
     middles = (found[:-1] + found[1:]) / 2

@@ -31,10 +31,10 @@ def shape(model):
     return [walk(tree._java_obj.rootNode() if hasattr(tree, "_java_obj") else tree.rootNode()) for tree in model.trees]
 
 
-@pytest.mark.parametrize("size", [click.QUICK, click.GbtSize(max_iter=6, max_depth=3, max_bins=12, subsample=1.0, features="all")])
-def test_trees_equal_those_of_spark(spark, monkeypatch, size):
+@pytest.mark.parametrize("n, size", [(2500, click.QUICK), (2500, click.GbtSize(max_iter=6, max_depth=3, max_bins=12, subsample=1.0, features="all")), (14000, click.QUICK)])
+def test_trees_equal_those_of_spark(spark, monkeypatch, n, size):
     monkeypatch.setattr(boosting, "CHUNK", 300)
-    rows = table(spark, 2500)
+    rows = table(spark, n)  # of over 10,000 rows a sample gives the thresholds
     classifier = click.boosted_trees(size)
     with recorded() as paths:
         model = classifier.fit(rows)
